@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import strip
 
-CLASS_TYPE = (
-    "struct<deployment_type:string,deployment_reason:string,"
-    "cloud_provider:string,cloud_reason:string>"
-)
+ANSWER_FIELDS = ("deployment_type", "deployment_reason", "cloud_provider", "cloud_reason")
+ANSWER_LINES = ("DEPLOYMENT:", "DEPLOYMENT_REASON:", "CLOUD:", "CLOUD_REASON:")
+_BLANK = r"[\t\x0b-\r\x1c-\x20\x{85}\p{Z}]"
 
 # The part of an answer that names a type or a provider, in test order.
 TYPE_MARKS = (("Batch", ("batch",)), ("Streaming", ("stream",)), ("Web Service", ("web", "service")))
@@ -39,48 +38,40 @@ def _mentions(value: Column, marks: Sequence[str]) -> Column:
     return test
 
 
-def _last_value(lines: Column, prefix: str) -> Column:
-    """What the last line with the prefix says; null when no line has it."""
-    line = F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(-1))
+def last_line(response: Column, prefix: str) -> Column:
+    """The last line that begins with the prefix, blanks before it ignored; '' when there is none.
+
+    A greedy pattern finds it without splitting the answer into lines; it is tied
+    to the beginning, so a missing line costs one look through the text.
+    """
+    return F.regexp_extract(response, rf"(?s)^(?:.*\n)?{_BLANK}*+({prefix}[^\n]*)", 1)
+
+
+def line_value(line: Column, prefix: str) -> Column:
     return strip(F.replace(line, F.lit(prefix), F.lit("")))
 
 
-def classification_of(response: Column) -> Column:
-    """The four fields of an answer; a field without its line is 'Unknown'."""
-    lines = F.transform(F.split(strip(response), "\n"), strip)
-    deployment = F.lower(_last_value(lines, "DEPLOYMENT:"))
+def types_named(deployment_line: Column) -> Column:
+    """'Unknown', or the types an answer names, in fixed order."""
+    value = F.lower(line_value(deployment_line, ANSWER_LINES[0]))
     types = F.concat_ws(
-        ", ", *[F.when(_mentions(deployment, marks), label) for label, marks in TYPE_MARKS]
+        ", ", *[F.when(_mentions(value, marks), label) for label, marks in TYPE_MARKS]
     )
-    cloud = _last_value(lines, "CLOUD:")
-    provider = cloud
+    return F.when(types == "", "Unknown").otherwise(types)
+
+
+def provider_named(cloud_line: Column) -> Column:
+    """The provider an answer names; a name that is none of the known ones stays as it is."""
+    value = line_value(cloud_line, ANSWER_LINES[2])
+    low = F.lower(value)
+    provider = value
     for label, marks in reversed(CLOUD_MARKS):
-        provider = F.when(_mentions(F.lower(cloud), marks), label).otherwise(provider)
-    unknown = lambda c: F.coalesce(c, F.lit("Unknown"))
-    return F.struct(
-        F.when(types == "", "Unknown").otherwise(types).alias("deployment_type"),
-        unknown(_last_value(lines, "DEPLOYMENT_REASON:")).alias("deployment_reason"),
-        unknown(provider).alias("cloud_provider"),
-        unknown(_last_value(lines, "CLOUD_REASON:")).alias("cloud_reason"),
-    ).cast(CLASS_TYPE)
-
-
-def default_classification(reason: Column) -> Column:
-    short = F.substring(reason, 1, 100)
-    return F.struct(
-        F.lit("Unknown").alias("deployment_type"),
-        short.alias("deployment_reason"),
-        F.lit("Unknown").alias("cloud_provider"),
-        short.alias("cloud_reason"),
-    ).cast(CLASS_TYPE)
-
-
-def classification_or_default(response: Column, error: Column | None = None) -> Column:
-    """The parsed answer, or Unknown with the reason why there is none."""
-    why = F.lit("LLM returned no response")
-    why = F.coalesce(error, why) if error is not None else why
-    failed = F.coalesce(response, F.lit("")) == ""
-    return F.when(failed, default_classification(why)).otherwise(classification_of(response))
+        provider = F.when(_mentions(low, marks), label).otherwise(provider)
+    return F.when(cloud_line == "", "Unknown").otherwise(provider)
+
+
+def reason_given(line: Column, prefix: str) -> Column:
+    return F.when(line == "", "Unknown").otherwise(line_value(line, prefix))
 
 
 def outside_types(deployment: Column, valid: Column) -> Column:

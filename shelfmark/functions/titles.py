@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import strip, word_runs, words
+from shelfmark.functions.text import WS_CHARS, word_runs, words
 
 # Words too general to carry meaning, and terms that cost a point.
 GENERIC_WORDS = ("cloud", "integration", "processing", "system", "storage")
@@ -22,15 +22,19 @@ LOW_SCORE = 3
 TITLES_TYPE = "array<string>"
 
 
+# One title per line: blanks, a list marker (number or dash with a dot), the title up to
+# its last visible character. A line holding only a marker gives none.
+_BLANK = r"[\t\x0b-\r\x1c-\x20\x{85}\p{Z}]"
+TITLE_LINE = rf"(?md)^{_BLANK}*+(?:[-\p{{Nd}}]+\.{_BLANK}*+)?+([^\n]*[^{WS_CHARS}])"
+
+
 def title_list(response: Column) -> Column:
     """One title per line without its list number; distinct, first position kept.
 
     A number or dash counts as a list marker only with a dot after it.
     """
-    stripped = F.transform(F.split(response, "\n"), strip)
-    bare = F.transform(stripped, lambda t: F.regexp_replace(t, r"^[-\p{Nd}]+\.\s*", ""))
-    kept = F.array_distinct(F.filter(bare, lambda t: t != ""))
-    return F.coalesce(kept, F.array().cast(TITLES_TYPE))
+    lines = F.array_distinct(F.regexp_extract_all(response, F.lit(TITLE_LINE), 1))
+    return F.coalesce(lines, F.array().cast(TITLES_TYPE))
 
 
 def context_words(url: Column, summary: Column) -> Column:
@@ -41,13 +45,19 @@ def context_words(url: Column, summary: Column) -> Column:
     )
 
 
-def title_score(title: Column, context: Column) -> Column:
+def title_parts(title: Column) -> Column:
+    """What the score looks at, taken out of a title once."""
     low = F.lower(title)
-    tokens = words(low)
-    n = F.size(tokens)
-    runs = word_runs(low)
+    return F.struct(
+        title.alias("title"), low.alias("low"), words(low).alias("tokens"), word_runs(low).alias("runs")
+    )
+
+
+def score_of(parts: Column, context: Column) -> Column:
+    title, low, runs = parts["title"], parts["low"], parts["runs"]
+    n = F.size(parts["tokens"])
     specific = F.size(F.filter(runs, lambda w: ~w.isin(*GENERIC_WORDS)))
-    repeated = F.size(F.filter(tokens, lambda w: F.array_contains(context, w)))
+    repeated = F.size(F.filter(parts["tokens"], lambda w: F.array_contains(context, w)))
     penalties = sum((low.contains(t).cast("int") for t in GENERIC_TERMS), F.lit(0))
     return (
         F.when(n.between(*GOOD_LENGTH), 2).otherwise(-1)
@@ -59,11 +69,17 @@ def title_score(title: Column, context: Column) -> Column:
     )
 
 
+def title_score(title: Column, context: Column) -> Column:
+    return score_of(title_parts(title), context)
+
+
 def scored_titles(titles: Column, context: Column) -> Column:
     """array<struct<title, score>> in the order of the titles."""
     return F.transform(
-        titles,
-        lambda t: F.struct(t.alias("title"), title_score(t, context).cast("int").alias("score")),
+        F.transform(titles, title_parts),
+        lambda p: F.struct(
+            p["title"].alias("title"), score_of(p, context).cast("int").alias("score")
+        ),
     )
 
 

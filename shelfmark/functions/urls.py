@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import strip
-
 HOST = "github.com/"
 PREFIX = "https://" + HOST
 
@@ -40,82 +38,17 @@ def percent_decoded(c: Column) -> Column:
     return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
 
-def parsed_repo(url: Column) -> Column:
-    """struct<owner, repo, subpath, branch>, all null when no owner and repo are found."""
-    u = F.rtrim(before(before(strip(url), "?"), "#"), F.lit("/"))
-    tree, blob = after(u, "/tree/"), after(u, "/blob/")
-    base = F.when(tree.isNotNull(), before(u, "/tree/")).otherwise(before(u, "/blob/"))
-    parts = F.split(F.replace(without_suffix(base, ".git"), F.lit(PREFIX), F.lit("")), "/")
-    owner, repo = F.get(parts, 0), F.get(parts, 1)
-    return F.when(
-        (owner != "") & (repo != ""),
-        F.struct(
-            owner.alias("owner"),
-            repo.alias("repo"),
-            percent_decoded(after(tree, "/")).alias("subpath"),
-            percent_decoded(before(F.coalesce(tree, blob), "/")).alias("branch"),
-        ),
-    )
-
-
 def sanitized(url: Column) -> Column:
     """scheme://host/path, without parameters, query and fragment."""
-    pattern = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
-    path = F.regexp_replace(F.regexp_extract(url, pattern, 3), ";[^/]*$", "")
-    return F.concat(
-        F.lower(F.regexp_extract(url, pattern, 1)),
+    path = before(before(url, "?"), "#")
+    path = F.when(path.contains(";"), F.regexp_replace(path, ";[^/]*$", "")).otherwise(path)
+    scheme = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://)?"
+    other = F.concat(
+        F.lower(F.regexp_extract(path, scheme, 1)),
         F.lit("://"),
-        F.regexp_extract(url, pattern, 2),
-        path,
-    )
-
-
-def readme_location(url: Column) -> Column:
-    """struct<owner, repo, branch, folder, direct>: where the README of a URL is looked for.
-
-    `direct` is true when the URL itself names the README. A URL that ends right
-    after 'tree' or 'blob' names no branch and gives null.
-    """
-    u = F.replace(sanitized(url), F.lit("https://GitHub.com/"), F.lit(PREFIX))
-    parts = F.split(F.substring_index(u, HOST, -1), "/")
-    tree_at, blob_at = F.array_position(parts, "tree"), F.array_position(parts, "blob")
-    at = F.when(tree_at > 0, tree_at).otherwise(blob_at).cast("int")
-    branch = F.when(at > 0, F.get(parts, at))
-    direct = F.array_contains(parts, "README.md")
-    first = F.when(at > 0, at + 2).otherwise(F.lit(3))
-    tail = F.slice(parts, first, F.greatest(F.size(parts) - first + 1, F.lit(0)))
-    usable = u.contains(HOST) & (F.size(parts) >= 2) & (direct | (at == 0) | branch.isNotNull())
-    return F.when(
-        usable,
-        F.struct(
-            F.get(parts, 0).alias("owner"),
-            F.replace(F.get(parts, 1), F.lit(".git"), F.lit("")).alias("repo"),
-            F.when(~direct, branch).alias("branch"),
-            F.when(~direct, F.array_join(tail, "/")).alias("folder"),
-            direct.alias("direct"),
-        ),
-    )
-
-
-def readme_paths(where: Column, filename: Column) -> Column:
-    """struct<path, fallback_path> for a `readme_location` and the file name found there.
-
-    The fallback drops the first 'branch/' inside the folder.
-    """
-    folder, prefix = where["folder"], F.concat(where["branch"], F.lit("/"))
-    at = F.instr(folder, prefix)
-    inner = F.concat(
-        F.substring(folder, F.lit(1), at - 1),
-        F.substring(folder, at + F.length(prefix), F.length(folder)),
-    )
-    joined = lambda d: F.when(
-        filename.isNotNull() & ~where["direct"],
-        F.concat_ws("/", F.nullif(d, F.lit("")), filename),
-    )
-    return F.struct(
-        F.when(where["direct"], F.lit("README.md")).otherwise(joined(folder)).alias("path"),
-        joined(F.when(at > 0, inner).otherwise(folder)).alias("fallback_path"),
+        F.regexp_replace(F.regexp_replace(path, scheme, ""), "^//", ""),
     )
+    return F.when(path.startswith("https://"), path).otherwise(other)
 
 
 def readme_slug(url: Column) -> Column:

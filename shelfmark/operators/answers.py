@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.answers import (
-    classification_or_default,
+    ANSWER_FIELDS,
+    ANSWER_LINES,
     classification_prompt,
+    last_line,
     outside_types,
+    provider_named,
+    reason_given,
+    types_named,
 )
 
 Model = Callable[[list[str]], list[str | None]]
@@ -29,13 +34,35 @@ def class_requests(df: DataFrame, content: str = "context") -> DataFrame:
     return df.withColumn("prompt", prompt)
 
 
-def parse_answers(df: DataFrame, col: str = "response") -> DataFrame:
-    """Add the four answer fields; without an answer they are Unknown with the reason."""
-    error = F.col("error") if "error" in df.columns else None
-    parsed = df.withColumn("_c", classification_or_default(F.col(col), error))
-    names = ("deployment_type", "deployment_reason", "cloud_provider", "cloud_reason")
-    kept = [c for c in df.columns if c not in names]
-    return parsed.select(*kept, "_c.*")
+def parse_answers(
+    df: DataFrame, col: str = "response", default: str = "LLM returned no response"
+) -> DataFrame:
+    """Add the four answer fields; a field without its line is Unknown.
+
+    Without an answer all are Unknown, with the reason in both reason fields:
+    the text in a column `error` if there is one, else the default.
+    """
+    kept = [c for c in df.columns if c not in ANSWER_FIELDS]
+    # The four lines are columns of their own, so that each is looked for once.
+    lines = {f"_l{i}": last_line(F.col(col), prefix) for i, prefix in enumerate(ANSWER_LINES)}
+    values = (
+        types_named(F.col("_l0")),
+        reason_given(F.col("_l1"), ANSWER_LINES[1]),
+        provider_named(F.col("_l2")),
+        reason_given(F.col("_l3"), ANSWER_LINES[3]),
+    )
+    why = F.lit(default)
+    if "error" in df.columns:
+        why = F.coalesce("error", why)
+    failed = F.coalesce(F.col(col), F.lit("")) == ""
+    unanswered = (F.lit("Unknown"), F.substring(why, 1, 100)) * 2
+    return df.withColumns(lines).select(
+        *kept,
+        *[
+            F.when(failed, instead).otherwise(value).alias(name)
+            for name, value, instead in zip(ANSWER_FIELDS, values, unanswered)
+        ],
+    )
 
 
 def flag_outside_types(df: DataFrame) -> DataFrame:

@@ -273,7 +273,9 @@ def preprocess(
         return df.withColumn(out, tokens)
     if key is None:
         raise ValueError("lemmas need the name of a unique key")
-    exploded = df.select(key, F.posexplode(tokens).alias("_pos", "form"))
+    exploded = df.select(key, F.posexplode_outer(tokens).alias("_pos", "form")).where(
+        F.col("form").isNotNull()
+    )
     looked_up = exploded.join(lemmas.select("form", "lemma"), "form", "left")
     gathered = looked_up.groupBy(key).agg(
         F.sort_array(
@@ -299,9 +301,9 @@ def word_counts(
     Words are counted before they are looked up, so the join and the second sum
     work on distinct words.
     """
-    found = df.select(F.explode(col).alias("form")).groupBy("form").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # The outer explode keeps Spark from filtering on the array, which would build it twice.
+    forms = df.select(F.explode_outer(col).alias("form")).where(F.col("form").isNotNull())
+    found = forms.groupBy("form").agg(F.count(F.lit(1)).alias("n"))
     if lemmas is not None:
         looked_up = found.join(lemmas.select("form", "lemma"), "form", "left")
         named = looked_up.select(F.coalesce("lemma", "form").alias("word"), "n")

@@ -38,7 +38,14 @@ def stop_paging(pages: DataFrame, series: str = "series_id", limit: int = MAX_PA
 
 
 def link_rows(pages: DataFrame, series: str = "series_id") -> DataFrame:
-    return pages.select(series, "page", F.posexplode("links").alias("pos", "link")).select(
+    """One row per link.
+
+    An inner explode would make Spark filter on the size of the array further
+    down, which means reading the HTML twice; the outer one and a filter on its
+    result do not.
+    """
+    exploded = pages.select(series, "page", F.posexplode_outer("links").alias("pos", "link"))
+    return exploded.where(F.col("pos").isNotNull()).select(
         series, "page", "pos", "link.project_url", "link.score"
     )
 
@@ -64,4 +71,5 @@ def scraped(pages: DataFrame, series: str = "series_id", limit: int = MAX_PAGES)
 def archive_links(pages: DataFrame) -> DataFrame:
     """Links of home pages in their order, those of the archive section where there is one."""
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(*kept, F.posexplode(archive_hrefs(F.col("html"))).alias("pos", "href"))
+    links = pages.select(*kept, F.posexplode_outer(archive_hrefs(F.col("html"))).alias("pos", "href"))
+    return links.where(F.col("pos").isNotNull())

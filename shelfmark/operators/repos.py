@@ -7,6 +7,7 @@ Landed tables: trees `(keys, branch, path, type)`, one row per entry; status
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,13 +36,6 @@ BRANCHES = ("main", "master")
 MAX_FILES = 10
 
 
-def _any(tests: Sequence[Column]) -> Column:
-    result = tests[0]
-    for test in tests[1:]:
-        result = result | test
-    return result
-
-
 def depth_of(path: Column) -> Column:
     return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
 
@@ -52,19 +46,24 @@ def in_folder(path: Column, folder: Column) -> Column:
     return F.coalesce((folder != "") & below, F.lit(False))
 
 
+def _one_of(texts: Sequence[str]) -> str:
+    return "(?:" + "|".join(re.escape(t.lower()) for t in dict.fromkeys(texts)) + ")"
+
+
+# The lists above as three patterns on the lower-cased path.
+BINARY = rf"(?s){_one_of(EXCLUDED_EXTENSIONS)}\z"
+COPIED = _one_of(EXCLUDED_FOLDERS)
+TELLING = rf"(?s){_one_of(KEY_FILES)}[^/]*\z|{_one_of(KEY_PATTERNS)}"
+
+
 def is_key_file(path: Column) -> Column:
-    """Whether a file helps to describe any project: by name or place, not binary, not a copy."""
+    """Whether a file helps to describe any project: by name or place, not binary, not a copy.
+
+    As a filter this moves down to the scan and repeats whatever `path` is made
+    of, so it looks at the path three times rather than once per list entry.
+    """
     low = F.lower(path)
-    name = F.element_at(F.split(low, "/"), -1)
-    names = dict.fromkeys(k.lower() for k in KEY_FILES)
-    # The extension list is one look at the last dot rather than 26 suffix tests.
-    extension = F.concat(F.lit("."), F.substring_index(low, ".", -1))
-    binary = low.contains(".") & extension.isin(*EXCLUDED_EXTENSIONS)
-    return (
-        ~binary
-        & ~_any([low.contains(x) for x in EXCLUDED_FOLDERS])
-        & (_any([name.contains(k) for k in names]) | _any([low.contains(p) for p in KEY_PATTERNS]))
-    )
+    return low.rlike(TELLING) & ~low.rlike(BINARY) & ~low.rlike(COPIED)
 
 
 def should_fetch(path: Column, subpath: Column) -> Column:
@@ -139,7 +138,7 @@ def ranked_files(
         .select(*keys[:-1], F.col("branch").alias("tree_branch"), "path")
         .withColumn("_depth", depth_of(F.col("path")))
     )
-    listed = files.select("*", F.explode(above).alias("_folder")).withColumn(
+    listed = files.select("*", F.explode_outer(above).alias("_folder")).withColumn(
         "_inside", (F.col("_folder") != "") & (F.col("_folder") != F.lower("path"))
     )
     best = [F.desc("_inside"), F.asc("_depth"), F.asc("path")]

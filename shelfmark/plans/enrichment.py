@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.answers import summary_of
 from shelfmark.functions.text import cut
-from shelfmark.functions.urls import parsed_repo, readme_location, readme_slug
 from shelfmark.operators import answers as ans
 from shelfmark.operators import repos
 from shelfmark.operators.clean import (
@@ -36,6 +35,7 @@ from shelfmark.operators.titles import (
     to_regenerate,
     with_second_answers,
 )
+from shelfmark.operators.urls import parse_repo_url
 from shelfmark.session import reliable
 
 
@@ -74,8 +74,7 @@ def enrich(
     work = rows.where(needs_processing(force))
     done = rows.where(~needs_processing(force)).withColumn("status", F.lit("skip"))
 
-    repo = work.withColumn("_repo", parsed_repo(F.col(KEY)))
-    parsed = repo.select(*rows.columns, "_repo.*")
+    parsed = parse_repo_url(work)
     found = parsed.where(F.col("owner").isNotNull())
     chosen = repos.choose_tree(found, trees, status)
     files = repos.key_files(chosen, trees, contents).select(KEY, "rank", "path", "content")
@@ -139,25 +138,6 @@ def finish(df: DataFrame) -> DataFrame:
     return clean_titles(repair_mojibake(df))
 
 
-def readme_requests(df: DataFrame) -> DataFrame:
-    """Which README each URL of the README-only job asks for: `(owner, repo, folder)`.
-
-    A URL with a tree part names a folder; any other one the repository's own
-    README, folder null.
-    """
-    url = F.col(KEY)
-    where = readme_location(url)
-    plain = F.split(readme_slug(url), "/")
-    in_tree = url.contains("/tree/")
-    return df.withColumns(
-        {
-            "owner": F.when(in_tree, where["owner"]).otherwise(F.get(plain, 0)),
-            "repo": F.when(in_tree, where["repo"]).otherwise(F.get(plain, 1)),
-            "folder": F.when(in_tree, where["folder"]),
-        }
-    )
-
-
 def enrich_from_readme(catalogue: DataFrame, readmes: DataFrame, answers: Answers) -> DataFrame:
     """Titles from READMEs `(project_url, content)` alone, for rows without a title.
 

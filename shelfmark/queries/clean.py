@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import urls
 from shelfmark.operators import clean as cl
 from shelfmark.operators import pages as pg
+from shelfmark.operators import urls as ur
 from shelfmark.operators.repos import readme_of
 from shelfmark.queries.registry import query
 from shelfmark.queries.views import view
@@ -159,8 +160,8 @@ SELECT submission_id, CASE WHEN ok THEN parts[1] END AS owner, CASE WHEN ok THEN
     SUBS,
 )
 def url_parse(spark, d):
-    parsed = subs(spark, d).withColumn("_r", urls.parsed_repo(F.col("project_url")))
-    return parsed.select("submission_id", "_r.*")
+    parsed = ur.parse_repo_url(subs(spark, d))
+    return parsed.select("submission_id", "owner", "repo", "subpath", "branch")
 
 
 @query(
@@ -188,16 +189,28 @@ folded AS (SELECT submission_id, parts[1] AS owner, replace(parts[2], '.git', ''
     f"""WITH {_LOCATED}
 SELECT s.submission_id, owner, repo, CASE WHEN NOT direct THEN branch END AS branch,
  CASE WHEN NOT direct THEN folder END AS folder, direct,
- CASE WHEN direct THEN 'README.md' WHEN folder = '' THEN 'README.md' ELSE folder || '/README.md' END AS path
-FROM submissions s JOIN folded USING (submission_id)""",
+ CASE WHEN direct THEN 'README.md' WHEN folder = '' THEN 'README.md' WHEN folder IS NOT NULL THEN folder || '/README.md' END AS path
+FROM submissions s LEFT JOIN folded USING (submission_id)""",
     SUBS,
 )
 def readme_paths(spark, d):
-    located = subs(spark, d).withColumn("_w", urls.readme_location(F.col("project_url")))
-    named = located.where(F.col("_w").isNotNull()).withColumn(
-        "_p", urls.readme_paths(F.col("_w"), F.lit("README.md"))
-    )
-    return named.select("submission_id", "_w.*", "_p.path")
+    located = ur.locate_readmes(subs(spark, d).withColumn("readme_name", F.lit("README.md")))
+    named = ur.readme_candidates(located)
+    return named.select("submission_id", "owner", "repo", "branch", "folder", "direct", "path")
+
+
+_REQUESTED = f"""WITH {_LOCATED},
+slugged AS (SELECT submission_id, project_url, string_split(rtrim(regexp_replace(
+ string_split(project_url, 'github.com/')[-1], '\\.git$', ''), '/'), '/') AS s FROM submissions)
+SELECT submission_id, CASE WHEN contains(project_url, '/tree/') THEN owner ELSE s[1] END AS owner,
+ CASE WHEN contains(project_url, '/tree/') THEN repo ELSE s[2] END AS repo,
+ CASE WHEN contains(project_url, '/tree/') THEN folder END AS folder
+FROM slugged LEFT JOIN folded USING (submission_id)"""
+
+
+@query("readme_requests", _REQUESTED, SUBS)
+def readme_requests(spark, d):
+    return ur.readme_requests(subs(spark, d)).select("submission_id", "owner", "repo", "folder")
 
 
 @query(
@@ -260,8 +273,9 @@ LISTING = ("listing_pages",)
 )
 def listing_extract(spark, d):
     links = pg.page_links(view(spark, d, "listing_pages"))
-    flat = links.select("series_id", "page", "has_next", F.inline("links"))
-    return flat.select("series_id", "page", "project_url", "score", "has_next")
+    flat = links.select("series_id", "page", "has_next", F.inline_outer("links"))
+    found = flat.where(F.col("project_url").isNotNull())
+    return found.select("series_id", "page", "project_url", "score", "has_next")
 
 
 _REACHED = f"""{_LINKS},

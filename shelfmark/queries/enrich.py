@@ -166,13 +166,16 @@ def best(spark, d):
     TITLES,
 )
 def title_parse(spark, d):
-    return title_rows(spark, d).select("project_id", F.posexplode("titles").alias("pos", "title"))
+    rows = title_rows(spark, d)
+    listed = rows.select("project_id", F.posexplode_outer("titles").alias("pos", "title"))
+    return listed.where(F.col("pos").isNotNull())
 
 
 @query("title_score", f"WITH {_SCORED} SELECT project_id, title, score FROM s", TITLES)
 def title_score(spark, d):
     scored = ti.score_titles(title_rows(spark, d))
-    return scored.select("project_id", F.inline("scored"))
+    listed = scored.select("project_id", F.inline_outer("scored"))
+    return listed.where(F.col("title").isNotNull())
 
 
 @query(
