@@ -128,7 +128,9 @@ def stored_answers(
 def _read_answers(spark, path: str) -> DataFrame | None:
     reader = spark.read.schema(ANSWER_SCHEMA)
     try:
-        table = reader.parquet(path)
+        # By file names: Spark takes two reads of one folder for the same data and would
+        # reuse the older one, without the files appended in between.
+        table = reader.parquet(f"{path.rstrip('/')}/*.parquet")
     except Exception as failure:
         if "PATH_NOT_FOUND" in str(failure):
             return None

@@ -52,7 +52,9 @@ class Answers:
         self.scratch = scratch
 
     def of(self, requests: DataFrame) -> DataFrame:
-        return ans.stored_answers(requests, self.model, self.path, self.max_parallel)
+        """Requests with their answers, checkpointed: the next requests build on them."""
+        answered = ans.stored_answers(requests, self.model, self.path, self.max_parallel)
+        return reliable(answered.drop("prompt"), self.scratch)
 
 
 def enrich(
@@ -126,7 +128,7 @@ def propose_titles(df: DataFrame, answers: Answers) -> DataFrame:
     summarised = answered.select(*df.columns, summary_of(F.col("response")).alias("summary"))
     asked = title_requests(summarised.where(F.col("summary") != ""))
     scored = best_titles(score_titles(parse_titles(answers.of(asked))))
-    scored = scored.drop("prompt", "response", "error")
+    scored = scored.drop("response", "error")
     second = answers.of(to_regenerate(scored)).select(KEY, "response")
     final = with_second_answers(scored, second, KEY)
     silent = summarised.where(F.col("summary") == "")

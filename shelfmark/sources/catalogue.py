@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.sources.csv import write_partitioned
+from shelfmark.sources.csv import READ_OPTIONS, write_partitioned
 
 # Column names of the exported file, in its order.
 EXPORT_NAMES = {
@@ -41,7 +41,8 @@ def load(
 
     A pair without a folder adds nothing. The year stays text.
     """
-    df = spark.read.schema(schema).option("header", True).format(fmt).load(path)
+    options = READ_OPTIONS if fmt == "csv" else {}
+    df = spark.read.schema(schema).options(**options).format(fmt).load(path)
     return select_partitions(df, courses, years)
 
 

@@ -36,10 +36,11 @@ def scan_csv(
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """`(file, header)` of every CSV file: the names of its first line.
+    """`(file, header, late)` of every CSV file: the names of its header line.
 
-    A line of nothing but commas is passed over. One partial aggregate per file
-    keeps the earliest line, so the shuffle holds a line per file and task.
+    A line of nothing but commas is no header; `late` tells that such lines
+    stand before it. One partial aggregate per file keeps the earliest line, so
+    the shuffle holds a line per file and task.
     """
     lines = (
         spark.read.option("pathGlobFilter", glob)
@@ -48,16 +49,27 @@ def headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv"
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.monotonically_increasing_id().alias("at"),
-            F.regexp_replace("value", "^﻿", "").alias("line"),
+            F.regexp_replace("value", "^\ufeff", "").alias("line"),
         )
+        .withColumn("named_at", F.when(~F.col("line").rlike(r"^[,\s]*$"), F.col("at")))
     )
     first = (
-        lines.where(~F.col("line").rlike(r"^[,\s]*$"))
-        .groupBy("file")
-        .agg(F.min_by("line", "at").alias("line"))
+        lines.groupBy("file")
+        .agg(F.min("at").alias("at"), F.min("named_at").alias("named_at"), F.min_by("line", "named_at").alias("line"))
+        .where(F.col("named_at").isNotNull())
     )
     names = F.transform(F.split("line", ","), lambda n: F.btrim(n, F.lit(' \t\r"')))
-    return first.select("file", names.alias("header"))
+    return first.select("file", names.alias("header"), (F.col("at") < F.col("named_at")).alias("late"))
+
+
+def _scan_late(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Lists with empty lines above the header: the header is found among the rows and dropped."""
+    options = {**READ_OPTIONS, "header": False}
+    raw = spark.read.options(**options).schema(string_schema(names)).csv(list(files))
+    is_header = F.lit(True)
+    for name in names:
+        is_header = is_header & F.coalesce(F.btrim(F.col(f"`{name}`")), F.lit("")).eqNullSafe(name)
+    return missing_to_null(raw.where(~is_header)).na.drop("all")
 
 
 def combine_files(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
@@ -67,14 +79,15 @@ def combine_files(spark: SparkSession, paths: str | Sequence[str], glob: str = "
     files are read per distinct header. The driver sees file names and header
     lines, as it does for any file listing.
     """
-    groups = (
-        headers(spark, paths, glob).groupBy("header").agg(F.collect_list("file").alias("files"))
-    ).collect()
+    found = headers(spark, paths, glob).groupBy("header", "late")
+    groups = found.agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
     if not groups:
         raise ValueError(f"no CSV files found in {paths}")
     parts = [
-        scan_csv(spark, [f for f in g["files"]], string_schema(g["header"]))
-        for g in sorted(groups, key=lambda g: g["header"])
+        _scan_late(spark, g["files"], g["header"])
+        if g["late"]
+        else scan_csv(spark, list(g["files"]), string_schema(g["header"]))
+        for g in sorted(groups, key=lambda g: (g["late"], g["header"]))
     ]
     return union_by_name(parts)
 
