@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import WORD_CLASS
+from shelfmark.functions.text import WORD_CLASS, any_of
 
 # Deployment types in order of precedence, keywords in order of precedence.
 DEPLOYMENT_KEYWORDS = {
@@ -87,29 +87,6 @@ def word_bounded(keyword: str) -> str:
     return rf"(?i)(^|[^\p{{L}}\p{{N}}_]){escaped}($|[^\p{{L}}\p{{N}}_])"
 
 
-def _trie_pattern(phrases: Sequence[str]) -> str:
-    """One alternation over all phrases with shared beginnings written once, longest first."""
-    root: dict = {}
-    for phrase in phrases:
-        node = root
-        for ch in phrase:
-            node = node.setdefault(ch, {})
-        node[""] = {}
-
-    def render(node: dict) -> str:
-        branches = [
-            re.sub(r"([^\w\s])", r"\\\1", ch) + render(child)
-            for ch, child in sorted(node.items())
-            if ch
-        ]
-        if not branches:
-            return ""
-        body = branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
-        return f"(?:{body})?" if "" in node else body
-
-    return render(root)
-
-
 def hit_pattern(keywords: Sequence[str]) -> str:
     phrases = sorted({k.lower() for k in keywords})
     if not all(_WORD.match(p[0]) and _WORD.match(p[-1]) for p in phrases):
@@ -117,7 +94,7 @@ def hit_pattern(keywords: Sequence[str]) -> str:
     # The two cheap ASCII tests come first: they settle nearly every position.
     starts = "".join(sorted({p[0] for p in phrases}))
     start = rf"(?=[{starts}])(?<![a-z0-9_])(?<!{WORD_CLASS})"
-    return rf"(?iu){start}(?=({_trie_pattern(phrases)})(?!{WORD_CLASS}))"
+    return rf"(?iu){start}(?=({any_of(phrases)})(?!{WORD_CLASS}))"
 
 
 def _implied(phrase: str, phrases: Sequence[str]) -> list[str]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,6 +84,33 @@ def mojibake_repaired(c: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(F.encode(latin1, "ISO-8859-1").cast("string")), c)
 
 
+def any_of(phrases: Sequence[str]) -> str:
+    """A pattern for any of the phrases, the longest first.
+
+    Beginnings they share are written once, so a failing place is given up after
+    one character instead of one try per phrase.
+    """
+    root: dict = {}
+    for phrase in phrases:
+        node = root
+        for ch in phrase:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def render(node: dict) -> str:
+        branches = [
+            re.sub(r"([^\w\s])", r"\\\1", ch) + render(child)
+            for ch, child in sorted(node.items())
+            if ch
+        ]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+        return f"(?:{body})?" if "" in node else body
+
+    return render(root)
+
+
 def known(c: Column) -> Column:
     """Neither null nor one of the words that mean "not known"; never null itself."""
     return F.coalesce(~F.lower(strip(c)).isin("unknown", "error"), F.lit(False))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.answers import decoded_payload, strictly_decoded
-from shelfmark.functions.text import cut, strip
+from shelfmark.functions.text import any_of, cut, strip
 
 KEYS = ("owner", "repo")
 
@@ -46,14 +46,12 @@ def in_folder(path: Column, folder: Column) -> Column:
     return F.coalesce((folder != "") & below, F.lit(False))
 
 
-def _one_of(texts: Sequence[str]) -> str:
-    return "(?:" + "|".join(re.escape(t.lower()) for t in dict.fromkeys(texts)) + ")"
-
-
 # The lists above as three patterns on the lower-cased path.
-BINARY = rf"(?s){_one_of(EXCLUDED_EXTENSIONS)}\z"
-COPIED = _one_of(EXCLUDED_FOLDERS)
-TELLING = rf"(?s){_one_of(KEY_FILES)}[^/]*\z|{_one_of(KEY_PATTERNS)}"
+_NAMES, _PARTS = [n.lower() for n in KEY_FILES], list(KEY_PATTERNS)
+_STARTS = re.escape("".join(sorted({t[0] for t in _NAMES + _PARTS})))
+TELLING = rf"(?s)(?=[{_STARTS}])(?:{any_of(_NAMES)}[^/]*\z|{any_of(_PARTS)})"
+BINARY = rf"{any_of(EXCLUDED_EXTENSIONS)}\z"
+COPIED = any_of(EXCLUDED_FOLDERS)
 
 
 def is_key_file(path: Column) -> Column:

@@ -30,9 +30,10 @@ def reliable(df, scratch: str | None = None):
     The folder is the cluster's own ``spark.checkpoint.dir``; `scratch` is used
     only where that is unset, as in a local test.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or scratch
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir, or pass a shared folder")
-    spark.sparkContext.setCheckpointDir(folder)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or scratch
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir, or pass a shared folder")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -58,10 +58,12 @@ def select_partitions(
 
 def years(df: DataFrame, default: Sequence[str] = DEFAULT_YEARS) -> DataFrame:
     """The years with data, ascending; the default list if there are none."""
+    # Years are made distinct by a partial aggregate; what one task sorts are folder names.
     found = df.where(F.col("year").rlike(r"^\d+$")).select("year").distinct()
-    n = found.agg(F.count(F.lit(1))).scalar()
-    fallback = df.sparkSession.createDataFrame([(y,) for y in default], "year string")
-    return found.unionByName(fallback.where(n == 0)).orderBy("year")
+    listed = found.agg(F.sort_array(F.collect_list("year")).alias("years"))
+    fallback = F.array(*[F.lit(y) for y in default])
+    chosen = F.when(F.size("years") > 0, F.col("years")).otherwise(fallback)
+    return listed.select(F.explode_outer(chosen).alias("year"))
 
 
 def export_columns(df: DataFrame) -> DataFrame:
