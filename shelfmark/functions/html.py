@@ -59,12 +59,15 @@ def cell_projects(html: Column) -> Column:
     return _projects(F.regexp_extract_all(html, F.lit(CELL), 2), lambda x: F.lit(""))
 
 
-def page_projects(html: Column) -> Column:
+def articles_or_cells(articles: Column, html: Column) -> Column:
     """Article format; the table format only when a page holds no article project."""
-    articles = article_projects(html)
     return F.when(F.size(articles) > 0, articles).otherwise(cell_projects(html)).cast(LINKS_TYPE)
 
 
+def page_projects(html: Column) -> Column:
+    return articles_or_cells(article_projects(html), html)
+
+
 def has_next_page(html: Column) -> Column:
     return F.coalesce(html.rlike(NEXT_PAGE), F.lit(False))
 

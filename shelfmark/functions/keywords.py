@@ -144,17 +144,14 @@ def deployment_of(hits: Column, rules: Mapping[str, Sequence[str]] = DEPLOYMENT_
 
 def cloud_of(hits: Column, providers: Mapping[str, Sequence[str]] = CLOUD_KEYWORDS) -> Column:
     """The provider with most distinct keywords hit; the earlier provider wins a tie."""
-    scored = F.array(
-        *[
-            F.struct(
-                F.size(
-                    F.array_intersect(hits, F.array(*[F.lit(k.lower()) for k in group]))
-                ).alias("n"),
-                F.lit(-order).alias("order"),
-                F.lit(label).alias("label"),
-            )
-            for order, (label, group) in enumerate(providers.items())
-        ]
-    )
-    best = F.array_max(scored)
-    return F.when(best["n"] > 0, best["label"]).otherwise(F.lit("Unknown"))
+    scored = [
+        F.struct(
+            F.size(F.array_intersect(hits, F.array(*[F.lit(k.lower()) for k in group]))).alias("n"),
+            F.lit(-order).alias("order"),
+            F.lit(label).alias("label"),
+        )
+        for order, (label, group) in enumerate(providers.items())
+    ]
+    # With no hit at all, the highest order wins.
+    none = F.struct(F.lit(0).alias("n"), F.lit(1).alias("order"), F.lit("Unknown").alias("label"))
+    return F.coalesce(F.array_max(F.array(*scored, none))["label"], F.lit("Unknown"))

@@ -28,8 +28,13 @@ NO_REASON = "no reason to append the title note to"
 
 
 def first_per_key(df: DataFrame, order_by: Sequence[str | Column], key: str = KEY) -> DataFrame:
-    """The first row of each key; the cut happens before the shuffle, so hot keys stay small."""
-    order = Window.partitionBy(key).orderBy(*order_by)
+    """The first row of each key; the cut happens before the shuffle, so hot keys stay small.
+
+    Grouped by the two expressions a null-safe join hashes by, so that such a
+    join on the key needs no further shuffle of this side.
+    """
+    k = F.col(key)
+    order = Window.partitionBy(F.coalesce(k, F.lit("")), F.isnull(k)).orderBy(*order_by)
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
@@ -196,10 +201,11 @@ def retry(
 ) -> DataFrame:
     """Run the rows in error once more, forced, and merge what comes out.
 
-    `step` takes catalogue rows and returns them with their new results and
-    status. Rows not in error keep their status.
+    `step` takes the rows without their status and returns them with new results
+    and status. Rows not in error keep theirs. `df` is read twice: checkpoint it
+    first when it is costly.
     """
-    failed = df.where(F.col("status") == "error").select(key, *RESULT_COLUMNS)
+    failed = df.where(F.col("status") == "error").drop("status")
     return merge_results(df, step(failed), (*RESULT_COLUMNS, "status"), key)
 
 

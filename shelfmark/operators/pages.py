@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.html import archive_hrefs, has_next_page, page_projects
+from shelfmark.functions.html import (
+    archive_hrefs,
+    article_projects,
+    articles_or_cells,
+    has_next_page,
+)
 
 MAX_PAGES = 100
 
@@ -13,14 +18,27 @@ MAX_PAGES = 100
 def page_links(pages: DataFrame, series: str = "series_id") -> DataFrame:
     """Per page its project links and whether it has a link to the next page."""
     html = F.col("html")
-    return pages.select(
+    # The articles are a column of their own, so that a page is searched for them once.
+    staged = pages.select(series, "page", "html", article_projects(html).alias("_articles"))
+    return staged.select(
         series,
         "page",
-        page_projects(html).alias("links"),
+        articles_or_cells(F.col("_articles"), html).alias("links"),
         has_next_page(html).alias("has_next"),
     )
 
 
+def last_pages(pages: DataFrame, series: str = "series_id") -> DataFrame:
+    """`(series, last_page)`: the first page without projects or next link, where there is one."""
+    stopping = pages.where(~F.col("has_next") | (F.size("links") == 0))
+    return stopping.groupBy(series).agg(F.min("page").alias("last_page"))
+
+
+def _reached(rows: DataFrame, pages: DataFrame, series: str) -> DataFrame:
+    reached = F.coalesce(F.col("page") <= F.col("last_page"), F.lit(True))
+    return rows.join(last_pages(pages, series), series, "left").where(reached).drop("last_page")
+
+
 def stop_paging(pages: DataFrame, series: str = "series_id", limit: int = MAX_PAGES) -> DataFrame:
     """Pages up to the first one without projects or next link, at most `limit` pages.
 
@@ -28,13 +46,7 @@ def stop_paging(pages: DataFrame, series: str = "series_id", limit: int = MAX_PA
     and joined back, so no task holds all pages of a series.
     """
     within = pages.where(F.col("page") <= limit)
-    stops = (
-        within.where(~F.col("has_next") | (F.size("links") == 0))
-        .groupBy(series)
-        .agg(F.min("page").alias("_stop"))
-    )
-    reached = F.coalesce(F.col("page") <= F.col("_stop"), F.lit(True))
-    return within.join(stops, series, "left").where(reached).drop("_stop")
+    return _reached(within, within, series)
 
 
 def link_rows(pages: DataFrame, series: str = "series_id") -> DataFrame:
@@ -63,9 +75,15 @@ def first_seen(links: DataFrame, series: str = "series_id") -> DataFrame:
 
 
 def scraped(pages: DataFrame, series: str = "series_id", limit: int = MAX_PAGES) -> DataFrame:
-    """The submission list of each series: `(series, project_url, score)`."""
-    reached = stop_paging(page_links(pages, series), series, limit)
-    return first_seen(link_rows(reached, series), series).select(series, "project_url", "score")
+    """The submission list of each series: `(series, project_url, score)`.
+
+    A URL is taken where it stands first, and then only if paging got that far.
+    This order gives the same list as cutting the pages first, and lets
+    `first_seen` drop repeats before any join.
+    """
+    within = page_links(pages.where(F.col("page") <= limit), series)
+    found = first_seen(link_rows(within, series), series)
+    return _reached(found, within, series).select(series, "project_url", "score")
 
 
 def archive_links(pages: DataFrame) -> DataFrame:

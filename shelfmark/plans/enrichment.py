@@ -22,9 +22,11 @@ from shelfmark.operators.clean import (
 from shelfmark.operators.courses import with_valid_types
 from shelfmark.operators.enrich import (
     apply_states,
+    carry_enrichment,
     needs_classification,
     needs_processing,
     needs_title,
+    retry,
 )
 from shelfmark.operators.titles import (
     best_titles,
@@ -122,6 +124,26 @@ def enrich(
     return finished.unionByName(done.select(*kept))
 
 
+def run(
+    listed: DataFrame,
+    old: DataFrame | None,
+    trees: DataFrame,
+    contents: DataFrame,
+    status: DataFrame,
+    answers: Answers,
+    types: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """A whole enrichment: results carried over, rows enriched, errors tried once more, texts tidied.
+
+    `listed` is a cleaned list, `old` an earlier catalogue of it or None. Write
+    the result before reading it again as the old one.
+    """
+    rows = carry_enrichment(listed, old) if old is not None else with_result_columns(listed)
+    first = reliable(enrich(rows, trees, contents, status, answers, types), answers.scratch)
+    again = lambda failed: enrich(failed, trees, contents, status, answers, types, force=True)
+    return finish(retry(first, again))
+
+
 def propose_titles(df: DataFrame, answers: Answers) -> DataFrame:
     """Summary, titles, best title for `(project_url, deployment_type, context)`."""
     answered = answers.of(summary_requests(df))

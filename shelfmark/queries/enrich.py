@@ -327,10 +327,10 @@ def states(spark, d):
 
 
 def retried(spark, d):
-    known = subs(spark, d).select("submission_id", "project_url", "author_id", "course")
+    known = ("submission_id", "project_url", "author_id", "course", *RESULTS)
 
     def step(failed):
-        rows = with_facts(failed.join(known, "submission_id"), spark, d, failing=False)
+        rows = with_facts(failed.select(*known), spark, d, failing=False)
         return en.apply_states(rows, force=True)
 
     return en.retry(states(spark, d), step, "submission_id")

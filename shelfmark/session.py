@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Skew handling is left to AQE where a join side cannot be made unique first:
-# it splits an oversized partition of the preserved side of a left join.
+# Skew handling is left to AQE where a join side cannot be made unique first: it
+# splits an oversized partition, also where that costs one more shuffle later.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -100,6 +100,20 @@ def test_enrichment_from_repositories(spark, tmp_path, answers):
     assert {r["project_title"] for r in finished.collect()} == {"São"}
 
 
+def test_whole_run_retries_errors_once(spark, answers):
+    u = "https://github.com/o/"
+    listed = spark.createDataFrame([(u + "good",), (u + "silent",), (None,)], "project_url string")
+    # a title is wanted, the model is silent, and there is no reason to note it in
+    old = spark.createDataFrame([(u + "silent", None, "Batch", None, "GCP"), (u + "unlisted", "T", "B", "r", "c")], CAT)
+    done = enrichment.run(listed, old, *landed(spark), answers)
+    found = {r["project_url"]: (r["project_title"], r["reason"], r["status"]) for r in done.collect()}
+    assert found == {
+        u + "good": ("Taxi Trips Dashboard View", "seen", "success"),
+        u + "silent": ("Unknown", "seen" + en.NOTE_NO_SUMMARY, "success"),
+        None: ("Error", en.NO_URL, "error"),
+    }
+
+
 def test_enrichment_from_readmes(spark, answers):
     catalogue = spark.createDataFrame(
         [("u/good", None), ("u/none", None), ("u/has", "Fraud Detection"), ("u/silent", None), (None, None)],
