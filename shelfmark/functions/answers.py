@@ -19,6 +19,8 @@ CLOUD_MARKS = (
     ("GCP", ("gcp", "google")), ("AWS", ("aws", "amazon")), ("Azure", ("azure",)),
     ("Unknown", ("unknown",)),
 )
+# Fixed value: the reason given where a model did not answer.
+NO_RESPONSE = "LLM returned no response"
 ALL_TYPES = ("Batch", "Streaming", "Web Service")
 
 # What a model is told about each type; a deployment may pass its own wording.

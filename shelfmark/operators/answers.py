@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.answers import (
     ANSWER_FIELDS,
     ANSWER_LINES,
+    NO_RESPONSE,
     classification_prompt,
     last_line,
     outside_types,
@@ -34,9 +35,7 @@ def class_requests(df: DataFrame, content: str = "context") -> DataFrame:
     return df.withColumn("prompt", prompt)
 
 
-def parse_answers(
-    df: DataFrame, col: str = "response", default: str = "LLM returned no response"
-) -> DataFrame:
+def parse_answers(df: DataFrame, col: str = "response", default: str = NO_RESPONSE) -> DataFrame:
     """Add the four answer fields; a field without its line is Unknown.
 
     Without an answer all are Unknown, with the reason in both reason fields:

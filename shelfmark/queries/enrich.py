@@ -99,12 +99,16 @@ def prompt_classify(spark, d):
     return asked.select("submission_id", F.md5("prompt").alias("digest"))
 
 
+_ASK_TITLES = _sql_text(
+    "Propose 5 different titles of 3 to 5 words for the project below, one per line.\n"
+    "Name its data domain and what it does; leave out course names, filler words and "
+    "technology the summary does not mention.\n"
+)
+
+
 @query(
     "prompt_title",
-    f"""SELECT submission_id, md5({_sql_text(
-        'Propose 5 different titles of 3 to 5 words for the project below, one per line.' + chr(10)
-        + 'Name its data domain and what it does; leave out course names, filler words and '
-        + 'technology the summary does not mention.' + chr(10))} ||
+    f"""SELECT submission_id, md5({_ASK_TITLES} ||
  CASE WHEN contains(lower(deployment_type), 'streaming') THEN {_sql_text(fa.STREAM_HINT)} ELSE {_sql_text(fa.BATCH_HINT)} END ||
  {_sql_text(chr(10) + 'Project URL: ')} || project_url || {_sql_text(chr(10) + 'Project summary: ')} || reason ||
  {_sql_text(chr(10) + 'Titles:')}) AS digest FROM submissions""",
@@ -201,16 +205,26 @@ final AS (SELECT project_id, title AS best_title, score AS best_score FROM merge
 @query("title_regenerate", f"WITH {_SECOND} SELECT project_id, best_title, best_score FROM final", TITLES)
 def title_regenerate(spark, d):
     first = best(spark, d).drop("response")
-    # Answers to the second request: those of the next project.
+    # Answers to the second request: those of the next project. Rows that score well ignore them.
     rows = view(spark, d, "title_responses")
     n = rows.agg(F.count(F.lit(1))).scalar()
-    shifted = rows.select(((F.col("project_id") + n - 1) % n).alias("project_id"), "response")
-    asked = ti.to_regenerate(first, MARK).select("project_id")
-    second = shifted.join(asked, "project_id", "left_semi")
+    second = rows.select(((F.col("project_id") + n - 1) % n).alias("project_id"), "response")
     final = ti.with_second_answers(first, second, "project_id", MARK)
     return final.select("project_id", "best_title", "best_score")
 
 
+@query(
+    "regenerate_requests",
+    f"""WITH {_BEST} SELECT project_id, md5({_ASK_TITLES} || '' || {_sql_text(chr(10) + 'Project URL: ')} || project_url
+ || {_sql_text(chr(10) + 'Project summary: ')} || summary || {_sql_text(chr(10) + 'Titles:')}) AS digest
+FROM best WHERE best_score < {MARK}""",
+    TITLES,
+)
+def regenerate_requests(spark, d):
+    asked = ti.to_regenerate(best(spark, d), MARK)
+    return asked.select("project_id", F.md5("prompt").alias("digest"))
+
+
 # ---------------------------------------------------------------- states
 
 

@@ -13,7 +13,7 @@ def local_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
