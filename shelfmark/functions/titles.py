@@ -74,13 +74,19 @@ def title_score(title: Column, context: Column) -> Column:
 
 
 def scored_titles(titles: Column, context: Column) -> Column:
-    """array<struct<title, score>> in the order of the titles."""
-    return F.transform(
+    """array<struct<title, score>> in the order of the titles.
+
+    The context is bound to a variable of an outer one-element transform. As a
+    column it could be merged into the inner functions, and then its words would
+    be looked for again for every word of every title.
+    """
+    scored = lambda known: F.transform(
         F.transform(titles, title_parts),
         lambda p: F.struct(
-            p["title"].alias("title"), score_of(p, context).cast("int").alias("score")
+            p["title"].alias("title"), score_of(p, known).cast("int").alias("score")
         ),
     )
+    return F.get(F.transform(F.array(context), scored), 0)
 
 
 def merged_scores(old: Column, new: Column) -> Column:
@@ -89,15 +95,12 @@ def merged_scores(old: Column, new: Column) -> Column:
 
 
 def best_title(scored: Column) -> Column:
-    """The struct with the highest score; the earliest wins a tie; null for no titles."""
+    """struct<score, back, title> of the highest score; the earliest wins a tie; null for no titles."""
     ranked = F.transform(
         scored,
         lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("back"), s["title"].alias("title")),
     )
-    top = F.array_max(ranked)
-    return F.when(
-        top.isNotNull(), F.struct(top["title"].alias("title"), top["score"].alias("score"))
-    )
+    return F.array_max(ranked)
 
 
 def feedback(best: Column) -> Column:

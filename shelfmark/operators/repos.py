@@ -114,6 +114,16 @@ def choose_tree(
     )
 
 
+def folders_above(path: Column) -> Column:
+    """Every folder a path lies in, lower case, from '' for the root down to the path itself."""
+    # One split per path: the parts are the variable of an outer one-element transform.
+    prefixes = lambda parts: F.transform(
+        F.sequence(F.lit(0), F.size(parts)),
+        lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"),
+    )
+    return F.get(F.transform(F.array(F.split(F.lower(path), "/")), prefixes), 0)
+
+
 def ranked_files(
     projects: DataFrame, trees: DataFrame, k: int = MAX_FILES, keys: Sequence[str] = KEYS
 ) -> DataFrame:
@@ -127,16 +137,13 @@ def ranked_files(
     the k of its folder and the root files among the k of the whole tree.
     """
     keys = [*keys, "tree_branch"]
-    low = F.split(F.lower("path"), "/")
-    above = F.transform(
-        F.sequence(F.lit(0), F.size(low)), lambda i: F.array_join(F.slice(low, F.lit(1), i), "/")
-    )
     files = (
         trees.where((F.col("type") == "blob") & is_key_file(F.col("path")))
         .select(*keys[:-1], F.col("branch").alias("tree_branch"), "path")
         .withColumn("_depth", depth_of(F.col("path")))
     )
-    listed = files.select("*", F.explode_outer(above).alias("_folder")).withColumn(
+    listed = files.select("*", F.explode_outer(folders_above(F.col("path"))).alias("_folder"))
+    listed = listed.withColumn(
         "_inside", (F.col("_folder") != "") & (F.col("_folder") != F.lower("path"))
     )
     best = [F.desc("_inside"), F.asc("_depth"), F.asc("path")]

@@ -291,7 +291,7 @@ def test_title_score(spark, title, url, summary, want):
 def test_best_title_prefers_the_earlier_of_equals(spark):
     df = spark.sql("SELECT array('x', 'y', 'A good taxi title', 'A good taxi theme') AS t, array('taxi') AS c")
     best = df.select(fti.best_title(fti.scored_titles(F.col("t"), F.col("c")))).first()[0]
-    assert tuple(best) == ("A good taxi title", 3)
+    assert (best["title"], best["score"]) == ("A good taxi title", 3)
     text = df.select(fti.feedback(fti.best_title(fti.scored_titles(F.col("t"), F.col("c"))))).first()[0]
     assert text == "The best title is 'A good taxi title' with a score of 3."
     none = spark.sql("SELECT CAST(array() AS array<string>) AS t, array('taxi') AS c")
