@@ -150,18 +150,18 @@ def ranked_files(
     in_order = Window.partitionBy(*keys, "_folder").orderBy(*best)
     top = listed.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
 
-    folder = F.lower(F.coalesce("subpath", F.lit("")))
-    asked = projects.withColumn("_folder", folder)
-    folders = asked.where(F.col("_folder") != "").select(*keys, "_folder").distinct()
-    at_root = top.where((F.col("_folder") == "") & (F.col("_depth") == 0)).drop("_folder", "rank")
+    asked = projects.withColumn("_asked", F.lower(F.coalesce("subpath", F.lit(""))))
+    # A folder is looked up under its own name and under the root; one look at the trees serves both.
+    names = F.when(F.col("_asked") == "", F.array(F.lit(""))).otherwise(F.array("_asked", F.lit("")))
+    lookups = asked.select(*keys, "_asked").distinct()
+    lookups = lookups.select(*keys, "_asked", F.explode_outer(names).alias("_folder"))
     # A root file whose own path is the asked folder is already listed under it.
-    from_root = folders.join(at_root, keys).where(F.col("_folder") != F.lower("path"))
-    own = top.where(F.col("_folder") != "").drop("rank").join(folders, [*keys, "_folder"], "left_semi")
-    both = own.unionByName(from_root)
-    chosen = both.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
-    whole = top.where(F.col("_folder") == "")
-    ranked = chosen.unionByName(whole).select(*keys, "_folder", "path", "rank")
-    return asked.join(ranked, [*keys, "_folder"]).drop("_folder")
+    from_root = (F.col("_depth") == 0) & (F.lower("path") != F.col("_asked"))
+    found = top.drop("rank").join(lookups, [*keys, "_folder"])
+    found = found.where((F.col("_folder") == F.col("_asked")) | from_root)
+    per_folder = Window.partitionBy(*keys, "_asked").orderBy(*best)
+    ranked = found.withColumn("rank", F.row_number().over(per_folder)).where(F.col("rank") <= k)
+    return asked.join(ranked.select(*keys, "_asked", "path", "rank"), [*keys, "_asked"]).drop("_asked")
 
 
 def with_contents(
@@ -211,23 +211,36 @@ LAYOUTS = {
 }
 
 
-def context(files: DataFrame, layout: str = "general", by: Sequence[str] = KEYS) -> DataFrame:
-    """The files of a project `(by, rank, path, content)` as one text, in rank order.
+def contexts(
+    files: DataFrame, layouts: Sequence[str], by: Sequence[str] = KEYS
+) -> DataFrame:
+    """The files of a project `(by, rank, path, content)` as one text per layout, in rank order.
 
+    All layouts are gathered in one shuffle, as columns `<layout>_context`.
     Texts are cut before they are gathered, and files whose rank alone puts them
     behind the total limit are left out, which bounds each gathered group.
     """
-    before, after, tail, per_file, total, mark = LAYOUTS[layout]
-    shortest = len(before + after + tail)
-    block = F.concat(
-        F.lit(before), F.col("path"), F.lit(after), F.substring("content", 1, per_file), F.lit(tail)
-    )
-    within = files.where(F.col("rank") <= total // shortest + 1)
-    gathered = within.groupBy(*by).agg(
-        F.sort_array(F.collect_list(F.struct("rank", block.alias("block")))).alias("_blocks")
-    )
-    text = F.array_join("_blocks.block", "")
-    return gathered.select(*by, cut(text, total, mark).alias("context"))
+    gathered, texts = [], []
+    for layout in layouts:
+        before, after, tail, per_file, total, mark = LAYOUTS[layout]
+        text = F.substring("content", 1, per_file)
+        block = F.concat(F.lit(before), F.col("path"), F.lit(after), text, F.lit(tail))
+        within = F.col("rank") <= total // len(before + after + tail) + 1
+        kept = F.when(within, F.struct("rank", block.alias("block")))
+        gathered.append(F.sort_array(F.collect_list(kept)).alias(f"_{layout}"))
+        joined = F.array_join(f"_{layout}.block", "")
+        texts.append(joined.alias(f"_{layout}"))
+    grouped = files.groupBy(*by).agg(*gathered).select(*by, *texts)
+    cuts = [
+        cut(F.col(f"_{layout}"), LAYOUTS[layout][4], LAYOUTS[layout][5]).alias(f"{layout}_context")
+        for layout in layouts
+    ]
+    return grouped.select(*by, *cuts)
+
+
+def context(files: DataFrame, layout: str = "general", by: Sequence[str] = KEYS) -> DataFrame:
+    """One layout alone, as column `context`."""
+    return contexts(files, [layout], by).withColumnRenamed(f"{layout}_context", "context")
 
 
 def decode_payload(df: DataFrame, strict: bool = False, n: int = 8000) -> DataFrame:

@@ -80,13 +80,15 @@ def enrich(
 
     parsed = parse_repo_url(work)
     found = parsed.where(F.col("owner").isNotNull())
-    chosen = repos.choose_tree(found, trees, status)
+    # One row per project, read three times below.
+    chosen = reliable(repos.choose_tree(found, trees, status), answers.scratch)
     files = repos.key_files(chosen, trees, contents).select(KEY, "rank", "path", "content")
-    for_class = repos.context(files, "classification", [KEY])
-    for_title = repos.context(files, "title", [KEY]).withColumnRenamed("context", "title_context")
+    texts = repos.contexts(files, ("classification", "title"), [KEY]).withColumnRenamed(
+        "classification_context", "context"
+    )
 
     facts = chosen.select(KEY, "not_found")
-    state = parsed.join(facts, KEY, "left").join(for_class, KEY, "left").join(for_title, KEY, "left")
+    state = parsed.join(facts, KEY, "left").join(texts, KEY, "left")
     state = reliable(
         state.withColumns(
             {
@@ -100,7 +102,7 @@ def enrich(
     asked = state.where(F.col("has_files") & needs_classification(force))
     if "course" not in asked.columns:
         asked = asked.withColumn("course", F.lit(None).cast("string"))
-    asked = with_valid_types(asked, types or {"": ("",)})
+    asked = with_valid_types(asked, types or {})
     classified = ans.parse_answers(answers.of(ans.class_requests(asked))).select(
         KEY,
         F.col("deployment_type").alias("new_type"),
