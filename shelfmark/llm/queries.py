@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.llm.mixing import mix_sources
+from shelfmark.llm.quality_rules import RULES, quality_rules
 from shelfmark.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +32,64 @@ def vocabulary() -> str:
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
+# op7: the verdict of a rule on a host needs a beta prior, fitted by moments below.
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _op7_sql() -> str:
+    rules = list(RULES)
+    rates = ", ".join(f"avg(f_{r} / n) AS m_{r}, var_pop(f_{r} / n) - avg((f_{r} / n) * (1 - f_{r} / n) / n) AS v_{r}" for r in rules)
+    weight = lambda r: f"least(greatest(m_{r} * (1 - m_{r}) / greatest(v_{r}, 1e-9) - 1, 1.0), 1e6)"
+    good = " AND ".join(f"(f_{r} + m_{r} * {weight(r)}) / (n + {weight(r)}) <= 0.5" for r in rules)
+    return f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g') <> '') AS l FROM rows),
+wins AS (SELECT r, i, struct_pack(a := w[i], b := w[i + 1], c := w[i + 2]) AS k
+    FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM wins) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS o) GROUP BY r),
+counts AS (SELECT words.r, doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l) AS n_lines,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM words LEFT JOIN covered USING (r)),
+failed AS (SELECT *, {", ".join(f"({c}) AS fails_{r}" for r, c in RULES.items())} FROM counts),
+hosts AS (SELECT source AS host, count(*)::DOUBLE AS n, {", ".join(f"sum(fails_{r}::INT)::DOUBLE AS f_{r}" for r in rules)} FROM failed GROUP BY source),
+prior AS (SELECT {rates} FROM hosts),
+verdicts AS (SELECT host, {good} AS good FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fails_short OR fails_repeats) AS base_failed,
+    NOT ({" OR ".join(f"fails_{r}" for r in rules)}) AND good AS kept
+FROM failed JOIN verdicts ON source IS NOT DISTINCT FROM host"""
+
+
+ORACLES["op7_quality_rules"] = _op7_sql()
+
+
+@query
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Targets by filling up level by level; draws by one running sum over each whole source.
+ORACLES["op9_source_mix"] = """
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+drawn AS (SELECT r, doc_id, source, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / (1::BIGINT << 48)::DOUBLE)
+    / greatest(0.05, 1 - 4.0::DOUBLE * length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) / greatest(length(t), 1)) AS k FROM rows),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size, [3.0::DOUBLE, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+    FROM drawn GROUP BY source),
+caps AS (SELECT *, 2.0::DOUBLE * source_size AS cap, sum(source_size) OVER () AS s, sum(w) OVER () AS ws FROM sizes),
+levels AS (SELECT *, (1.5::DOUBLE * s - coalesce(sum(cap) OVER b, 0)) / (ws - coalesce(sum(w) OVER b, 0)) AS level FROM caps
+    WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (SELECT source AS src, source_size, least(cap, w * max(CASE WHEN cap / w > level THEN level END) OVER ()) AS target FROM levels),
+running AS (SELECT *, floor(target / source_size) AS epochs, target - floor(target / source_size) * source_size AS rest,
+    sum(size) OVER (PARTITION BY source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+    FROM drawn JOIN targets ON source IS NOT DISTINCT FROM src)
+SELECT doc_id, size, source_size, target,
+    (size * (epochs + CASE WHEN upto <= rest OR (upto - size < rest AND upto - rest < rest - (upto - size)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM running"""
