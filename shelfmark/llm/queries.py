@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.mixing import mix_sources
+from shelfmark.llm.packing import pack
 from shelfmark.llm.quality_rules import RULES, quality_rules
 from shelfmark.llm.token_counts import token_counts
 
@@ -93,3 +94,9 @@ running AS (SELECT *, floor(target / source_size) AS epochs, target - floor(targ
 SELECT doc_id, size, source_size, target,
     (size * (epochs + CASE WHEN upto <= rest OR (upto - size < rest AND upto - rest < rest - (upto - size)) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM running"""
+
+
+# op3 has no SQL: token ids need a tokenizer. tests/llm/test_packing.py checks it by brute force.
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary())
