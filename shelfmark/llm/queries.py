@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.llm.chat_format import digests, format_chats
 from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality_rules import RULES, quality_rules
@@ -100,3 +101,25 @@ FROM running"""
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return digests(format_chats(rows.unionByName(planted)))
+
+
+# The template adds 15 characters to a user turn, 6 to an assistant's and 16 with the role's name to any
+# other, and one backslash to each control string in a text.
+ORACLES["op10_chat_format"] = r"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+parts AS (SELECT *, length(text) + len(regexp_extract_all(text, '\[/?INST\]|\[/?TURN\]|</?s>'))
+    + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 ELSE 16 + length(role) END AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(n)::BIGINT AS formatted_chars
+FROM parts GROUP BY conv_id"""
