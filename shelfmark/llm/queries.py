@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.llm.chat_format import digests, format_chats
 from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
+from shelfmark.llm.quality_classifier import quality_scores
 from shelfmark.llm.quality_rules import RULES, quality_rules
 from shelfmark.llm.token_counts import token_counts
 
@@ -123,3 +124,9 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum(n)::BIGINT AS formatted_chars
 FROM parts GROUP BY conv_id"""
+
+
+# op6 has no SQL: the model is fitted. tests/llm/test_classifiers.py measures it on held-out documents.
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
