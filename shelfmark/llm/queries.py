@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.chat_format import digests, format_chats
+from shelfmark.llm.language_id import language_ids
 from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality_classifier import quality_scores
@@ -130,3 +131,9 @@ FROM parts GROUP BY conv_id"""
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# op2 has no SQL: the model is fitted. tests/llm/test_classifiers.py measures it on held-out documents.
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(table(spark, sf_dir, "documents"))
