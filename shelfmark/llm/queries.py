@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.chat_format import digests, format_chats
+from shelfmark.llm.jaccard_join import similar_sets
 from shelfmark.llm.language_id import language_ids
 from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
@@ -137,3 +138,21 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ids(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_sets(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+# All pairs that share a shingle, and the components by reaching out from every document.
+ORACLES["op4_jaccard_join"] = """
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM sets UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(v) AS component_id FROM sets JOIN reach ON sets.doc_id = u GROUP BY ALL"""
