@@ -30,7 +30,7 @@ from shelfmark.llm.graph import components
 from shelfmark.llm.shingles import shingle_sets
 
 SKETCH_BITS = 1024
-#: Width of a size band: largest size against smallest.
+#: Width of a size band, largest size against smallest; 1 / t where that is more, so that partners are a band apart at most.
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
@@ -52,7 +52,7 @@ def bands(t: Fraction, largest: int = 1 << 40) -> tuple[np.ndarray, list[tuple[i
         spare = ceil(1 + 2.2 * d * exp(-low / d)) if d else 0
         tops.append(top)
         parts.append((d + 1 + spare if d else 0, spare))
-        top = max(top + 1, int(top * BAND))
+        top = max(top + 1, int(top * max(BAND, 1 / t)))
     return np.array(tops), parts
 
 
