@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 U64 = np.uint64
 #: Odd multipliers of the hash functions (the usual 64-bit mixing constants).
 MIX_A, MIX_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
@@ -36,9 +37,14 @@ def scratch(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read again: cuts lineage, survives executors."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch(df.sparkSession)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # what was shuffled to make the table is of no more use
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id: Column) -> Column:

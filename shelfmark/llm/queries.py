@@ -13,6 +13,7 @@ from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality_classifier import quality_scores
 from shelfmark.llm.quality_rules import RULES, quality_rules
+from shelfmark.llm.suffix_dedup import without_repeats
 from shelfmark.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +157,9 @@ links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM items a JOIN items b ON a.x =
     GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
 reach AS (SELECT doc_id AS u, doc_id AS v FROM sets UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
 SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(v) AS component_id FROM sets JOIN reach ON sets.doc_id = u GROUP BY ALL"""
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
