@@ -1,17 +1,85 @@
-"""From documents to packed training sequences, in stages that each work on what the stage before kept."""
+"""From documents to packed training sequences, in stages that each work on what the stage before kept.
+
+Each stage takes (spark, docs, sf_dir), where docs has the columns of documents. `run`
+writes what a stage returns as Parquet and reads it again for the next one. Stage 1
+drops the documents that the classifier rejects; 2 keeps the smallest document of each
+class of near copies; 3 takes repeated passages out of the texts; 4 repeats
+or drops documents so that sources reach their weights; 5 packs what is left.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfmark.llm.common import stored
+from shelfmark.llm.jaccard_join import similar_sets
+from shelfmark.llm.mixing import mix_sources
+from shelfmark.llm.packing import pack
+from shelfmark.llm.quality_classifier import quality_scores
+from shelfmark.llm.queries import vocabulary
+from shelfmark.llm.suffix_dedup import without_repeats
+
+
+def _number(docs: DataFrame) -> DataFrame:
+    """`docs` with a number of its own for every row, so that decisions find their rows though ids may repeat."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject. Equal texts with equal ids share their score."""
+    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    bad = scores.where("predicted = 0").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(bad, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each class of texts that share four in five of their five-word shingles."""
+    classes = similar_sets(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(classes, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 bytes and more that one of smaller id has; texts left without a character go."""
+    cut = without_repeats(docs)
+    gone = (F.col("n_removed") > 0) & (F.trim("kept_text") == "")
+    changed = cut.where(~gone | F.col("kept_text").isNull())
+    text, n_chars = F.col("kept_text"), F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
+    keep = F.col("n_removed") == 0
+    return changed.select(
+        *[text.alias(c) if c == "text" else F.when(keep, F.col(c)).otherwise(n_chars).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    )
+
+
+def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those it does not take are left out."""
+    rows = _number(docs)
+    taken = mix_sources(rows, id_col="_row").where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
+    drawn = rows.join(taken, F.col("_row") == F.col("_taken"))
+    return drawn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of document: where it lies in which sequence of 1024 tokens."""
+    return pack(docs, vocabulary())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources to target weights", source_weights),
+    ("best-fit packing", packing),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+# Classifier and token ids are not for SQL; tests/llm/test_pipeline.py checks the stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = stored(stage(spark, docs, sf_dir))
     return docs
