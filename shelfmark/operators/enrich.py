@@ -21,7 +21,6 @@ NOT_FOUND_REASON = "404: Repository not found (may be deleted or private)"
 NO_FILES_REASON = "No files fetched"
 NOTE_NO_TITLES = " | Title: LLM returned no titles"
 NOTE_NO_SUMMARY = " | Title: LLM summary failed"
-NOTE_NO_CONTENT = " | Title: No content to summarize"
 
 NO_URL = "project URL is missing"
 NO_REASON = "no reason to append the title note to"
@@ -196,17 +195,16 @@ def merge_results(
     return joined.withColumns(merged).select(*dict.fromkeys([*df.columns, *cols]))
 
 
-def retry(
-    df: DataFrame, step: Callable[[DataFrame], DataFrame], key: str = KEY
-) -> DataFrame:
-    """Run the rows in error once more, forced, and merge what comes out.
+def retry(df: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run the rows in error once more, forced, in place of their first results.
 
-    `step` takes the rows without their status and returns them with new results
-    and status. Rows not in error keep theirs. `df` is read twice: checkpoint it
-    first when it is costly.
+    `step` takes the rows without their status and returns each of them with new
+    results and status. Rows not in error keep theirs. `df` is read twice:
+    checkpoint it first when it is costly.
     """
-    failed = df.where(F.col("status") == "error").drop("status")
-    return merge_results(df, step(failed), (*RESULT_COLUMNS, "status"), key)
+    in_error = F.coalesce(F.col("status") == "error", F.lit(False))
+    again = step(df.where(in_error).drop("status"))
+    return df.where(~in_error).unionByName(again.select(*df.columns))
 
 
 def status_counts(df: DataFrame) -> DataFrame:

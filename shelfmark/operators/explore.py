@@ -87,13 +87,9 @@ def where(df: DataFrame, **specs: OneOf | InRange | Matches) -> DataFrame:
 def has_few_values(df: DataFrame, col: str, limit: int = CATEGORY_LIMIT) -> bool:
     """Whether a column has fewer than `limit` distinct values, nulls not counted.
 
-    A sketch of fixed size settles the usual case. Only when it says "few" are
-    the values counted exactly, and then there are few of them to shuffle.
+    One exact job: distinct values combine per task, and `limit` of them are enough.
     """
-    rough = df.agg(F.approx_count_distinct(col).alias("n")).first()["n"]
-    if rough > 4 * limit:
-        return False
-    return df.agg(F.count_distinct(F.col(col)).alias("n")).first()["n"] < limit
+    return df.where(F.col(col).isNotNull()).select(col).distinct().limit(limit).count() < limit
 
 
 def filter_chain(
@@ -253,6 +249,10 @@ def with_text_titles(df: DataFrame, legacy_nan: bool = True) -> DataFrame:
     return df.withColumn(TITLE, F.coalesce(TITLE, F.lit("nan"))) if legacy_nan else df
 
 
+#: Partitions over which one word is dealt when words are looked up.
+SALTS = 8
+
+
 def preprocess(
     df: DataFrame,
     col: str = TITLE,
@@ -276,7 +276,10 @@ def preprocess(
     exploded = df.select(key, F.posexplode_outer(tokens).alias("_pos", "form")).where(
         F.col("form").isNotNull()
     )
-    looked_up = exploded.join(lemmas.select("form", "lemma"), "form", "left")
+    # Few words make up much of any text: each is dealt over several partitions.
+    salted = exploded.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    spread = lemmas.select("form", "lemma", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    looked_up = salted.join(spread, ["form", "_salt"], "left")
     gathered = looked_up.groupBy(key).agg(
         F.sort_array(
             F.collect_list(F.struct("_pos", F.coalesce("lemma", "form").alias("word")))

@@ -71,6 +71,17 @@ def should_fetch(path: Column, subpath: Column) -> Column:
     return (anywhere | in_folder(path, subpath) | itself | ~path.contains("/")) & is_key_file(path)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key of a landed table: the latest by `landed_at` where there is one, then by all columns.
+
+    Repeated landings of a key are cut to one row per map task before the shuffle.
+    """
+    latest = [F.desc("landed_at")] if "landed_at" in df.columns else []
+    rest = [F.asc_nulls_last(c) for c in df.columns if c not in (*keys, "landed_at")]
+    order = Window.partitionBy(*keys).orderBy(*(latest + rest or [F.asc(keys[0])]))
+    return df.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+
+
 def choose_tree(
     projects: DataFrame,
     trees: DataFrame,
@@ -84,11 +95,14 @@ def choose_tree(
     is not found if its landed status is 404. `branch` is the URL's, or null.
 
     Both sides are reduced to distinct branches before they meet, so neither a
-    huge tree nor a repository submitted very often makes a big group.
+    huge tree nor a repository submitted very often makes a big group. A status
+    landed several times counts once.
     """
     keys = list(keys)
     if status is not None:
-        base = projects.join(status.select(*keys, "status_code", "default_branch"), keys, "left")
+        known = [c for c in (*keys, "status_code", "default_branch", "landed_at") if c in status.columns]
+        once = one_per_key(status.select(*known), keys)
+        base = projects.join(once.select(*keys, "status_code", "default_branch"), keys, "left")
     else:
         base = projects.withColumns(
             {"status_code": F.lit(None).cast("int"), "default_branch": F.lit(None).cast("string")}
@@ -132,29 +146,33 @@ def ranked_files(
     `projects` carry tree_branch and subpath. Projects and files are never
     paired before the choice: one repository may hold the projects of a whole
     course, each in a folder of its own, and pairs would grow with the square.
-    Instead every key file is listed under each folder above it and cut to k per
-    folder, which happens per map task before the shuffle. A project then takes
-    the k of its folder and the root files among the k of the whole tree.
+    Instead every key file is listed under each folder above it that some project
+    asks for, and cut to k per folder, which happens per map task before the
+    shuffle. A project then takes the k of its folder and the root files among
+    the k of the whole tree. Trees no project has chosen are never looked at.
     """
     keys = [*keys, "tree_branch"]
     files = (
         trees.where((F.col("type") == "blob") & is_key_file(F.col("path")))
         .select(*keys[:-1], F.col("branch").alias("tree_branch"), "path")
         .withColumn("_depth", depth_of(F.col("path")))
+        .join(projects.select(*keys).distinct(), keys, "left_semi")
     )
     listed = files.select("*", F.explode_outer(folders_above(F.col("path"))).alias("_folder"))
     listed = listed.withColumn(
         "_inside", (F.col("_folder") != "") & (F.col("_folder") != F.lower("path"))
     )
     best = [F.desc("_inside"), F.asc("_depth"), F.asc("path")]
-    in_order = Window.partitionBy(*keys, "_folder").orderBy(*best)
-    top = listed.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
-
     asked = projects.withColumn("_asked", F.lower(F.coalesce("subpath", F.lit(""))))
     # A folder is looked up under its own name and under the root; one look at the trees serves both.
     names = F.when(F.col("_asked") == "", F.array(F.lit(""))).otherwise(F.array("_asked", F.lit("")))
     lookups = asked.select(*keys, "_asked").distinct()
     lookups = lookups.select(*keys, "_asked", F.explode_outer(names).alias("_folder"))
+    listed = listed.join(lookups.select(*keys, "_folder").distinct(), [*keys, "_folder"], "left_semi")
+    best = [F.desc("_inside"), F.asc("_depth"), F.asc("path")]
+    in_order = Window.partitionBy(*keys, "_folder").orderBy(*best)
+    top = listed.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
+
     # A root file whose own path is the asked folder is already listed under it.
     from_root = (F.col("_depth") == 0) & (F.lower("path") != F.col("_asked"))
     found = top.drop("rank").join(lookups, [*keys, "_folder"])
@@ -165,11 +183,20 @@ def ranked_files(
 
 
 def with_contents(
-    files: DataFrame, contents: DataFrame, keys: Sequence[str] = KEYS
+    files: DataFrame, contents: DataFrame, keys: Sequence[str] = KEYS, per_file: int | None = None
 ) -> DataFrame:
-    """Selected files with their text, requested at `ref`; empty texts are left out."""
-    texts = contents.where(F.length("content") > 0).select(*keys, "ref", "path", "content")
-    return files.join(texts, [*keys, "ref", "path"])
+    """Selected files with their text, requested at `ref`, where null means without a ref.
+
+    Empty texts are left out, a text landed several times counts once, and texts
+    are cut to `per_file` characters before they are shuffled.
+    """
+    text = F.col("content") if per_file is None else F.substring("content", 1, per_file)
+    on = [*keys, "_ref", "path"]
+    kept = [*keys, "path", F.coalesce("ref", F.lit("")).alias("_ref"), text.alias("content")]
+    kept += ["landed_at"] if "landed_at" in contents.columns else []
+    texts = one_per_key(contents.where(F.length("content") > 0).select(*kept), on)
+    asked = files.withColumn("_ref", F.coalesce("ref", F.lit("")))
+    return asked.join(texts.drop("landed_at"), on).drop("_ref")
 
 
 def key_files(
@@ -178,15 +205,22 @@ def key_files(
     contents: DataFrame,
     k: int = MAX_FILES,
     keys: Sequence[str] = KEYS,
+    per_file: int | None = None,
 ) -> DataFrame:
-    """The k files per project with their texts.
+    """The k files per project with their texts, cut to `per_file` characters where given.
 
     Texts come from the branch of the URL, or else the default branch, even
-    where the tree was found on a fallback branch.
+    where the tree was found on a fallback branch. Where neither is known, they
+    come from what was landed without a ref, or else from the branch of the tree.
     """
+    keys = list(keys)
     ranked = ranked_files(projects, trees, k, keys)
-    wanted = F.coalesce(F.nullif("branch", F.lit("")), "default_branch")
-    return with_contents(ranked.withColumn("ref", wanted), contents, keys)
+    plain = contents.where(F.col("ref").isNull() & (F.length("content") > 0))
+    plain = plain.select(*keys, "path").distinct().withColumn("_plain", F.lit(True))
+    known = F.coalesce(F.nullif("branch", F.lit("")), "default_branch")
+    wanted = F.when(known.isNotNull(), known).when(F.col("_plain").isNull(), F.col("tree_branch"))
+    found = ranked.join(plain, [*keys, "path"], "left").withColumn("ref", wanted).drop("_plain")
+    return with_contents(found, contents, keys, per_file)
 
 
 def best_readme(files: DataFrame, n: int = 700, by: Sequence[str] = KEYS) -> DataFrame:
@@ -211,6 +245,11 @@ LAYOUTS = {
 }
 
 
+def longest_cut(layouts: Sequence[str]) -> int:
+    """The most characters of a file that any of the layouts takes."""
+    return max(LAYOUTS[layout][3] for layout in layouts)
+
+
 def contexts(
     files: DataFrame, layouts: Sequence[str], by: Sequence[str] = KEYS
 ) -> DataFrame:

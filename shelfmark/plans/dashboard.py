@@ -19,10 +19,16 @@ def filtered_view(
     hide: bool = True,
     only: bool = False,
     legacy_nan: bool = True,
+    lemmas: DataFrame | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """Selected partitions, processed titles, filters. Cache it when several figures follow."""
+    """Selected partitions, processed titles, filters. Cache it when several figures follow.
+
+    With `lemmas` and a unique `key` the processed titles are lemmatised; `figures` then
+    needs no lemmas of its own.
+    """
     rows = ex.with_text_titles(select_partitions(catalogue, courses, years), legacy_nan)
-    return ex.filter_chain(ex.preprocess(rows), specs, hide, only)
+    return ex.filter_chain(ex.preprocess(rows, lemmas=lemmas, key=key), specs, hide, only)
 
 
 def figures(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.answers import summary_of
 from shelfmark.functions.text import cut
+from shelfmark.functions.urls import readme_slug, sanitized
 from shelfmark.operators import answers as ans
 from shelfmark.operators import repos
 from shelfmark.operators.clean import (
@@ -82,8 +83,9 @@ def enrich(
     found = parsed.where(F.col("owner").isNotNull())
     # One row per project, read three times below.
     chosen = reliable(repos.choose_tree(found, trees, status), answers.scratch)
-    files = repos.key_files(chosen, trees, contents).select(KEY, "rank", "path", "content")
-    texts = repos.contexts(files, ("classification", "title"), [KEY]).withColumnRenamed(
+    layouts = ("classification", "title")
+    files = repos.key_files(chosen, trees, contents, per_file=repos.longest_cut(layouts))
+    texts = repos.contexts(files.select(KEY, "rank", "path", "content"), layouts, [KEY]).withColumnRenamed(
         "classification_context", "context"
     )
 
@@ -146,16 +148,20 @@ def run(
     return finish(retry(first, again))
 
 
-def propose_titles(df: DataFrame, answers: Answers) -> DataFrame:
-    """Summary, titles, best title for `(project_url, deployment_type, context)`."""
+def propose_titles(df: DataFrame, answers: Answers, need_summary: bool = True) -> DataFrame:
+    """Summary, titles, best title for `(project_url, [subject], deployment_type, context)`.
+
+    Titles are asked for with a summary only, or with `need_summary` off in any case.
+    """
     answered = answers.of(summary_requests(df))
     summarised = answered.select(*df.columns, summary_of(F.col("response")).alias("summary"))
-    asked = title_requests(summarised.where(F.col("summary") != ""))
+    ready = F.col("summary") != "" if need_summary else F.lit(True)
+    asked = title_requests(summarised.where(ready))
     scored = best_titles(score_titles(parse_titles(answers.of(asked))))
     scored = scored.drop("response", "error")
     second = answers.of(to_regenerate(scored)).select(KEY, "response")
     final = with_second_answers(scored, second, KEY)
-    silent = summarised.where(F.col("summary") == "")
+    silent = summarised.where(~ready)
     return final.unionByName(silent, allowMissingColumns=True)
 
 
@@ -168,15 +174,18 @@ def enrich_from_readme(catalogue: DataFrame, readmes: DataFrame, answers: Answer
     """Titles from READMEs `(project_url, content)` alone, for rows without a title.
 
     Existing titles stay; without a README, or without any proposal, the title
-    is Unknown. All titles get the uniform wording.
+    is Unknown. All titles get the uniform wording. Requests and scores speak of
+    owner/repo, or of the sanitised URL where it names a tree; a project whose
+    summary came back empty is asked for titles all the same.
     """
     rows = with_result_columns(catalogue, RESULT_COLUMNS[:1])
     missing = rows.where(F.col("project_title").isNull() & F.col(KEY).isNotNull()).select(KEY)
     texts = readmes.where(F.length("content") > 0).select(
         KEY, cut(F.col("content"), 3500).alias("context")
     )
-    asked = missing.join(texts, KEY).withColumn("deployment_type", F.lit(None).cast("string"))
-    titled = propose_titles(asked, answers).select(KEY, "best_title")
+    subject = F.when(F.col(KEY).contains("/tree/"), sanitized(F.col(KEY))).otherwise(readme_slug(F.col(KEY)))
+    asked = missing.join(texts, KEY).withColumns({"deployment_type": F.lit(None).cast("string"), "subject": subject})
+    titled = propose_titles(asked, answers, need_summary=False).select(KEY, "best_title")
     joined = rows.join(titled, KEY, "left")
     title = F.coalesce("project_title", "best_title", F.lit("Unknown"))
     return normalise_titles(joined.withColumn("project_title", title)).drop("best_title")

@@ -216,12 +216,11 @@ def readme_requests(spark, d):
 @query(
     "readme_slug",
     "SELECT submission_id, rtrim(regexp_replace(string_split(project_url, 'github.com/')[-1], '\\.git$', ''), '/') AS slug "
-    "FROM submissions WHERE project_url IS NOT NULL",
+    "FROM submissions",
     SUBS,
 )
 def readme_slug(spark, d):
-    rows = subs(spark, d).where("project_url IS NOT NULL")
-    return rows.select("submission_id", urls.readme_slug(F.col("project_url")).alias("slug"))
+    return subs(spark, d).select("submission_id", urls.readme_slug(F.col("project_url")).alias("slug"))
 
 
 @query(

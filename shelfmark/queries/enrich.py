@@ -347,7 +347,7 @@ def retried(spark, d):
         rows = with_facts(failed.select(*known), spark, d, failing=False)
         return en.apply_states(rows, force=True)
 
-    return en.retry(states(spark, d), step, "submission_id")
+    return en.retry(states(spark, d).select(*known, "status"), step)
 
 
 @query("enrich_states", f"WITH {_FIRST} SELECT {', '.join(ROW)} FROM states", WORK)

@@ -21,8 +21,8 @@ WORDS_SQL = f"""
 words AS (
  SELECT submission_id, i AS pos, w FROM (
   SELECT submission_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
-   SELECT submission_id, string_split_regex(translate(lower(project_title), '{_PUNCT}', ''), '\\s+') AS ws
-   FROM submissions WHERE project_title IS NOT NULL))
+   SELECT submission_id, string_split_regex(translate(lower(coalesce(project_title, 'nan')), '{_PUNCT}', ''), '\\s+') AS ws
+   FROM submissions))
  WHERE w <> '' AND w NOT IN ({_STOP}))"""
 
 
@@ -163,12 +163,11 @@ def course_share(spark, d):
 @query(
     "title_words",
     f"WITH {WORDS_SQL} SELECT s.submission_id, coalesce(string_agg(w, ' ' ORDER BY pos), '') AS words "
-    "FROM submissions s LEFT JOIN words USING (submission_id) WHERE project_title IS NOT NULL "
-    "GROUP BY s.submission_id",
+    "FROM submissions s LEFT JOIN words USING (submission_id) GROUP BY s.submission_id",
     SUBS,
 )
 def title_words(spark, d):
-    processed = ex.preprocess(subs(spark, d).where("project_title IS NOT NULL"))
+    processed = ex.preprocess(ex.with_text_titles(subs(spark, d)))
     return processed.select(
         "submission_id", F.array_join("processed_titles", " ").alias("words")
     )
@@ -178,18 +177,19 @@ def title_words(spark, d):
     "title_lemmas",
     f"WITH {WORDS_SQL} SELECT s.submission_id, coalesce(string_agg(coalesce(lemma, w), ' ' ORDER BY pos), '') AS words "
     "FROM submissions s LEFT JOIN words USING (submission_id) LEFT JOIN lemmas ON form = w "
-    "WHERE project_title IS NOT NULL GROUP BY s.submission_id",
+    "GROUP BY s.submission_id",
     ("submissions", "lemmas"),
 )
 def title_lemmas(spark, d):
-    titled = subs(spark, d).where("project_title IS NOT NULL")
+    titled = ex.with_text_titles(subs(spark, d))
     processed = ex.preprocess(titled, lemmas=view(spark, d, "lemmas"), key="submission_id")
     return processed.select("submission_id", F.array_join("processed_titles", " ").alias("words"))
 
 
 _WORD_COUNTS = (
     f"{WORDS_SQL}, counted AS (SELECT coalesce(lemma, w) AS word, count(*) AS n FROM words "
-    "LEFT JOIN lemmas ON form = w GROUP BY 1)"
+    "LEFT JOIN lemmas ON form = w WHERE submission_id IN "
+    "(SELECT submission_id FROM submissions WHERE project_title IS DISTINCT FROM 'Unknown') GROUP BY 1)"
 )
 
 
@@ -199,7 +199,7 @@ _WORD_COUNTS = (
     ("submissions", "lemmas"),
 )
 def top_words(spark, d):
-    processed = ex.preprocess(subs(spark, d))
+    processed = ex.preprocess(ex.hide_unknown(ex.with_text_titles(subs(spark, d))))
     return ex.word_counts(processed, lemmas=view(spark, d, "lemmas"), n=10)
 
 
@@ -210,7 +210,7 @@ def top_words(spark, d):
     ("submissions", "lemmas"),
 )
 def term_weights(spark, d):
-    processed = ex.preprocess(subs(spark, d))
+    processed = ex.preprocess(ex.hide_unknown(ex.with_text_titles(subs(spark, d))))
     weights = ex.term_weights(processed, lemmas=view(spark, d, "lemmas"))
     return weights.withColumn("weight", F.round("weight", 6))
 

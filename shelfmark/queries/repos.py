@@ -34,31 +34,33 @@ _KEY_FILE = (
 _INSIDE = "(coalesce(subpath, '') <> '' AND starts_with(lower(path), lower(subpath) || '/'))"
 _REACHABLE = f"(coalesce(subpath, '') = '' OR {_INSIDE} OR lower(path) = lower(subpath) OR NOT contains(path, '/'))"
 _FILES = "files AS (SELECT *, lower(regexp_replace(path, '^.*/', '')) AS name FROM repo_files WHERE type = 'blob')"
-FILES = ("repo_projects", "repo_files")
+FILES = ("repo_projects", "repo_files", "repo_status")
 
 _CHOSEN = """
+facts AS (SELECT p.*, status_code, default_branch FROM repo_projects p LEFT JOIN (
+ SELECT * FROM repo_status QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY landed_at DESC) = 1) s USING (repo_id)),
 landed AS (SELECT DISTINCT repo_id, branch AS b FROM repo_files),
 chosen AS (SELECT p.*, CASE
   WHEN branch IN (SELECT b FROM landed l WHERE l.repo_id = p.repo_id) THEN branch
   WHEN 'main' IN (SELECT b FROM landed l WHERE l.repo_id = p.repo_id) THEN 'main'
   WHEN 'master' IN (SELECT b FROM landed l WHERE l.repo_id = p.repo_id) THEN 'master'
   WHEN default_branch IN (SELECT b FROM landed l WHERE l.repo_id = p.repo_id) THEN default_branch
- END AS tree_branch FROM repo_projects p)"""
+ END AS tree_branch FROM facts p)"""
 _RANKED = f"""{_CHOSEN}, {_FILES},
 ranked AS (SELECT * FROM (
  SELECT c.repo_id, c.branch, c.default_branch, f.path, c.subpath, c.tree_branch,
   row_number() OVER (PARTITION BY c.repo_id ORDER BY {_INSIDE} DESC,
    length(path) - length(replace(path, '/', '')), path) AS rank
  FROM chosen c JOIN files f ON f.repo_id = c.repo_id AND f.branch = c.tree_branch
- WHERE {_KEY_FILE} AND {_REACHABLE}) WHERE rank <= 3)"""
+ WHERE {_KEY_FILE} AND {_REACHABLE}) WHERE rank <= {rp.MAX_FILES})"""
 
 
 def projects(spark, d):
-    return view(spark, d, "repo_projects").drop("status_letter", "status_code", "default_branch")
+    return view(spark, d, "repo_projects").drop("status_letter")
 
 
 def status(spark, d):
-    return view(spark, d, "repo_projects").select("repo_id", "status_code", "default_branch")
+    return view(spark, d, "repo_status")
 
 
 def trees(spark, d):
@@ -70,7 +72,7 @@ def chosen(spark, d):
 
 
 def contents(spark, d):
-    return view(spark, d, "file_contents").withColumnRenamed("branch", "ref")
+    return view(spark, d, "file_contents")
 
 
 @query(
@@ -88,7 +90,7 @@ def key_files(spark, d):
 
 @query(
     "branch_choice",
-    f"WITH {_CHOSEN} SELECT repo_id, branch, tree_branch, tree_branch IS NULL AND status_code = 404 AS not_found FROM chosen",
+    f"WITH {_CHOSEN} SELECT repo_id, branch, tree_branch, tree_branch IS NULL AND coalesce(status_code = 404, false) AS not_found FROM chosen",
     FILES,
 )
 def branch_choice(spark, d):
@@ -101,17 +103,21 @@ def branch_choice(spark, d):
     FILES,
 )
 def key_files_top(spark, d):
-    return rp.ranked_files(chosen(spark, d), trees(spark, d), 3, KEYS).select("repo_id", "path", "rank")
+    return rp.ranked_files(chosen(spark, d), trees(spark, d), keys=KEYS).select("repo_id", "path", "rank")
 
 
 _FETCHED = f"""{_RANKED},
-fetched AS (SELECT r.*, content FROM ranked r JOIN file_contents t ON t.repo_id = r.repo_id
- AND t.path = r.path AND t.branch = coalesce(r.branch, default_branch))"""
-TEXTS = ("repo_projects", "repo_files", "file_contents")
+texts AS (SELECT * FROM file_contents WHERE length(content) > 0
+ QUALIFY row_number() OVER (PARTITION BY repo_id, ref, path ORDER BY landed_at DESC) = 1),
+fetched AS (SELECT r.*, content FROM ranked r JOIN texts t ON t.repo_id = r.repo_id AND t.path = r.path
+ AND CASE WHEN coalesce(r.branch, default_branch) IS NOT NULL THEN t.ref = coalesce(r.branch, default_branch)
+  WHEN EXISTS (SELECT 1 FROM texts x WHERE x.repo_id = r.repo_id AND x.path = r.path AND x.ref IS NULL) THEN t.ref IS NULL
+  ELSE t.ref = r.tree_branch END)"""
+TEXTS = ("repo_projects", "repo_files", "repo_status", "file_contents")
 
 
-def fetched(spark, d):
-    return rp.key_files(chosen(spark, d), trees(spark, d), contents(spark, d), 3, KEYS)
+def fetched(spark, d, per_file=None):
+    return rp.key_files(chosen(spark, d), trees(spark, d), contents(spark, d), keys=KEYS, per_file=per_file)
 
 
 @query(
@@ -135,7 +141,7 @@ QUALIFY row_number() OVER (PARTITION BY repo_id
     TEXTS,
 )
 def best_readme(spark, d):
-    return rp.best_readme(fetched(spark, d), by=KEYS)
+    return rp.best_readme(fetched(spark, d, 700), by=KEYS)
 
 
 def _context_sql(layout: str) -> str:
@@ -160,7 +166,7 @@ def _pieces(s: str) -> list[str]:
 def _context(layout: str):
     @query(f"repo_context_{layout}", _context_sql(layout), TEXTS)
     def run(spark, d):
-        texts = rp.context(fetched(spark, d), layout, KEYS)
+        texts = rp.context(fetched(spark, d, rp.longest_cut([layout])), layout, KEYS)
         return texts.select(
             "repo_id",
             F.length("context").cast("bigint").alias("n"),
@@ -183,16 +189,16 @@ for _layout in rp.LAYOUTS:
     TEXTS,
 )
 def summaries(spark, d):
-    asked = summary_requests(rp.context(fetched(spark, d), "title", KEYS))
+    asked = summary_requests(rp.context(fetched(spark, d, rp.longest_cut(["title"])), "title", KEYS))
     return asked.select("repo_id", F.md5("prompt").alias("digest"))
 
 
 @query(
     "payload_decode",
-    "SELECT doc_id, md5(substring(text, 1, 8000)) AS digest, md5(text) AS whole_digest FROM documents WHERE text <> ''",
+    "SELECT doc_id, md5(nullif(substring(text, 1, 8000), '')) AS digest, md5(text) AS whole_digest FROM documents",
 )
 def payload_decode(spark, d):
-    docs = table(spark, d, "documents").where("text <> ''")
+    docs = table(spark, d, "documents")
     coded = docs.select("doc_id", F.base64(F.col("text").cast("binary")).alias("c"))
     return coded.select(
         "doc_id",
@@ -203,10 +209,10 @@ def payload_decode(spark, d):
 
 @query(
     "payload_decode_lower",
-    "SELECT doc_id, md5(lower(text)) AS digest FROM documents WHERE text <> ''",
+    "SELECT doc_id, md5(lower(text)) AS digest FROM documents",
 )
 def payload_decode_lower(spark, d):
-    docs = table(spark, d, "documents").where("text <> ''")
+    docs = table(spark, d, "documents")
     coded = docs.select("doc_id", F.base64(F.col("text").cast("binary")).alias("c"))
     return coded.select("doc_id", F.md5(F.lower(strictly_decoded(F.col("c")))).alias("digest"))
 

@@ -35,23 +35,32 @@ FROM (SELECT *, o_orderkey % (SELECT count(*) FROM part) AS o_partkey FROM order
 JOIN customer ON o_custkey = c_custkey JOIN part ON p_partkey = o_partkey""",
     "readmes": """
 SELECT doc_id, lower(concat(text, ' ', CASE doc_id % 6 WHEN 0 THEN 'Apache Spark on AWS EC2' WHEN 1 THEN 'fastapi, Google Cloud Run' WHEN 2 THEN 'kafka real-time Azure' WHEN 3 THEN 'Batch Flask GCP AWS' WHEN 4 THEN 'streamlit app' ELSE '' END)) AS content FROM documents""",
+    # One repository in eight holds the files of its neighbours too: more key files than are fetched.
     "repo_files": """
-SELECT DISTINCT l_orderkey AS repo_id, concat(
+SELECT DISTINCT repo_id, concat(
  CASE l_linenumber % 4 WHEN 0 THEN '' WHEN 1 THEN 'src/' WHEN 2 THEN 'dags/etl/' ELSE 'x/node_modules/' END,
- CASE l_suppkey % 8 WHEN 0 THEN 'README.md' WHEN 1 THEN 'Dockerfile' WHEN 2 THEN 'main.tf' WHEN 3 THEN 'img.png' WHEN 4 THEN 'kafka_job.py' WHEN 5 THEN 'requirements.txt' WHEN 6 THEN 'data.csv' ELSE 'util.py' END) AS path,
+ CASE l_suppkey % 8 WHEN 0 THEN 'README.md' WHEN 1 THEN 'Dockerfile' WHEN 2 THEN concat('main', CAST(l_partkey % 20 AS STRING), '.tf') WHEN 3 THEN 'img.png' WHEN 4 THEN concat('kafka_job', CAST(l_partkey % 40 AS STRING), '.py') WHEN 5 THEN 'requirements.txt' WHEN 6 THEN 'data.csv' ELSE 'util.py' END) AS path,
  CASE WHEN l_partkey % 5 = 0 THEN 'tree' ELSE 'blob' END AS type,
- CASE l_orderkey % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'master' ELSE 'develop' END AS branch FROM lineitem""",
+ CASE repo_id % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'master' ELSE 'develop' END AS branch
+FROM (SELECT *, l_orderkey AS repo_id FROM lineitem UNION ALL SELECT *, l_orderkey - l_orderkey % 8 AS repo_id FROM lineitem) l""",
+    # Some texts are landed without a ref, some several times: the last landing counts.
     "file_contents": """
-SELECT repo_id, path, branch, text AS content
+SELECT repo_id, path, CASE WHEN repo_id % 4 < 2 AND length(path) % 3 > 0 THEN NULL ELSE branch END AS ref, landed_at,
+ CASE WHEN landed_at = 2 THEN concat(text, ' again') ELSE text END AS content
 FROM (SELECT *, (repo_id * 7 + length(path)) % (SELECT count(*) FROM documents) AS text_id
- FROM (SELECT DISTINCT repo_id, path, branch FROM repo_files WHERE type = 'blob') b) f
+ FROM (SELECT DISTINCT repo_id, path, branch, 1 AS landed_at FROM repo_files WHERE type = 'blob'
+  UNION ALL SELECT DISTINCT repo_id, path, branch, 2 AS landed_at FROM repo_files WHERE type = 'blob' AND repo_id % 9 = 0) b) f
 JOIN documents ON doc_id = text_id""",
+    # No row for one repository in four, two rows for one in ten.
+    "repo_status": """
+SELECT o_orderkey AS repo_id, n AS landed_at, CASE WHEN o_orderpriority = '1-URGENT' THEN 404 ELSE 200 END AS status_code,
+ CASE WHEN n = 2 THEN 'develop' ELSE CASE o_orderpriority WHEN '2-HIGH' THEN 'develop' WHEN '3-MEDIUM' THEN NULL ELSE 'main' END END AS default_branch
+FROM (SELECT *, 1 AS n FROM orders UNION ALL SELECT *, 2 AS n FROM orders WHERE o_orderkey % 10 = 0) o
+WHERE o_orderkey % 4 <> 1""",
     "repo_projects": """
 SELECT o_orderkey AS repo_id, o_orderstatus AS status_letter,
  CASE o_orderstatus WHEN 'P' THEN 'develop' WHEN 'F' THEN 'gone' ELSE NULL END AS branch,
- CASE o_orderkey % 5 WHEN 0 THEN 'src' WHEN 1 THEN 'DAGS/etl' WHEN 2 THEN 'dockerfile' WHEN 3 THEN '' ELSE NULL END AS subpath,
- CASE WHEN o_orderpriority = '1-URGENT' THEN 404 ELSE 200 END AS status_code,
- CASE o_orderpriority WHEN '2-HIGH' THEN 'develop' WHEN '3-MEDIUM' THEN NULL ELSE 'main' END AS default_branch
+ CASE o_orderkey % 5 WHEN 0 THEN 'src' WHEN 1 THEN 'DAGS/etl' WHEN 2 THEN 'dockerfile' WHEN 3 THEN '' ELSE NULL END AS subpath
 FROM orders""",
     "model_answers": """
 SELECT event_id, user_id, concat('DEPLOYMENT: ', CASE event_type WHEN 'signup' THEN 'Batch' WHEN 'error' THEN 'n/a' WHEN 'click' THEN 'batch, STREAMING' WHEN 'view' THEN 'Web API' ELSE 'Streamlit' END, chr(10), 'DEPLOYMENT_REASON: user ', CAST(user_id AS STRING), chr(10), '  CLOUD: ', CASE user_id % 5 WHEN 0 THEN 'Google Cloud' WHEN 1 THEN 'Amazon' WHEN 2 THEN 'azure' WHEN 3 THEN 'Unknown' ELSE 'Hetzner' END, chr(10), 'CLOUD_REASON: props') AS response FROM events""",

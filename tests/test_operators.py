@@ -302,6 +302,53 @@ def test_ranked_files_equal_brute_force_with_many_projects_in_one_repository(spa
         assert got == brute_files(projects, files, k)
 
 
+def landed(spark):
+    trees = spark.createDataFrame(
+        [("o", "r", "main", "README.md", "blob"), ("o", "r", "main", "Makefile", "blob"), ("o", "x", "main", "README.md", "blob")],
+        "owner string, repo string, branch string, path string, type string",
+    )
+    contents = spark.createDataFrame(
+        [("o", "r", None, "README.md", "plain", 1), ("o", "r", "main", "README.md", "of main", 1), ("o", "r", "main", "Makefile", "old", 1),
+         ("o", "r", "main", "Makefile", "new text", 2), ("o", "x", None, "README.md", "", 1)],
+        "owner string, repo string, ref string, path string, content string, landed_at int",
+    )
+    return trees, contents
+
+
+def test_texts_without_a_known_branch(spark):
+    trees, contents = landed(spark)
+    projects = spark.createDataFrame([("o", "r", None, None), ("o", "x", None, None)], "owner string, repo string, branch string, subpath string")
+    files = rp.key_files(rp.choose_tree(projects, trees), trees, contents)
+    # without a branch: what was landed without a ref, else the tree's branch; the latest landing once
+    assert rows(files, "repo", "path", "content") == [("r", "Makefile", "new text"), ("r", "README.md", "plain")]
+    named = rp.choose_tree(projects.withColumn("branch", F.lit("main")), trees)
+    assert rows(rp.key_files(named, trees, contents, per_file=3), "repo", "path", "content") == [
+        ("r", "Makefile", "new"), ("r", "README.md", "of "),
+    ]
+
+
+def test_repeated_status_rows_count_once(spark):
+    trees, _ = landed(spark)
+    projects = spark.createDataFrame([("o", "r", None), ("o", "gone", None)], "owner string, repo string, branch string")
+    status = spark.createDataFrame(
+        [("o", "r", 200, "dev", 1), ("o", "r", 200, "main", 2), ("o", "gone", 404, None, 2), ("o", "gone", 200, "main", 1)],
+        "owner string, repo string, status_code int, default_branch string, landed_at int",
+    )
+    got = rp.choose_tree(projects, trees, status)
+    assert rows(got, "repo", "default_branch", "not_found") == [("gone", None, True), ("r", "main", False)]
+
+
+def test_trees_are_pruned_before_files_are_ranked_and_texts_cut_below_the_join(spark):
+    trees, contents = landed(spark)
+    projects = spark.createDataFrame([("o", "r", None, None)], "owner string, repo string, branch string, subpath string")
+    chosen = rp.choose_tree(projects, trees)
+    plan = rp.ranked_files(chosen, trees)._jdf.queryExecution().optimizedPlan().toString()
+    explode = plan.index("Generate explode(", plan.index("LeftSemi"))
+    assert "LeftSemi" in plan[explode:]  # deeper in the plan than the explode
+    plan = rp.key_files(chosen, trees, contents, per_file=9)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("substring(") > plan.index("Join Inner")
+
+
 def test_context_order_cuts_and_mark(spark):
     files = spark.createDataFrame(
         [("o", "r", 2, "b", "y" * 5000), ("o", "r", 1, "a", "x" * 5000)] + [("o", "s", i, f"f{i}", "z" * 5000) for i in range(1, 5)],

@@ -125,7 +125,7 @@ def test_enrichment_from_readmes(spark, answers):
     titles = dict(rows(enrichment.enrich_from_readme(catalogue, readmes, answers), "project_url", "project_title"))
     assert titles == {
         "u/good": "Better taxi trips dashboard", "u/none": "Unknown", "u/has": "Fraud Prediction",
-        "u/silent": "Unknown", None: "Unknown",
+        "u/silent": "Better taxi trips dashboard", None: "Unknown",  # asked for titles though its summary is empty
     }
 
 
