@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,16 @@ def scan_csv(
     return missing_to_null(reader.csv(list(path) if not isinstance(path, str) else path))
 
 
+def header_names(line: Column) -> Column:
+    """The names of a header line; a quoted name may hold commas and doubled quotes."""
+    fields = F.regexp_extract_all(line, F.lit(r'(?:^|,)(?:\s*"(?:[^"]|"")*"\s*|[^,]*)'), F.lit(0))
+    bare = lambda f: F.btrim(F.regexp_replace(f, "^,", ""), F.lit(" \t\r"))
+    unquoted = lambda n: F.when(
+        n.rlike('^".*"$'), F.replace(n.substr(F.lit(2), F.length(n) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(F.btrim(n, F.lit('"')))
+    return F.transform(F.transform(fields, bare), unquoted)
+
+
 def headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
     """`(file, header, late)` of every CSV file: the names of its header line.
 
@@ -58,7 +68,7 @@ def headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv"
         .agg(F.min("at").alias("at"), F.min("named_at").alias("named_at"), F.min_by("line", "named_at").alias("line"))
         .where(F.col("named_at").isNotNull())
     )
-    names = F.transform(F.split("line", ","), lambda n: F.btrim(n, F.lit(' \t\r"')))
+    names = header_names(F.col("line"))
     return first.select("file", names.alias("header"), (F.col("at") < F.col("named_at")).alias("late"))
 
 
