@@ -103,8 +103,12 @@ def best_title(scored: Column) -> Column:
     return F.array_max(ranked)
 
 
+# Fixed value: the sentence that reports the best title.
+FEEDBACK = "The best title is '%s' with a score of %d."
+
+
 def feedback(best: Column) -> Column:
-    return F.format_string("The best title is '%s' with a score of %d.", best["title"], best["score"])
+    return F.format_string(FEEDBACK, best["title"], best["score"])
 
 
 def without_marks(c: Column) -> Column:

@@ -56,6 +56,7 @@ def readme_slug(url: Column) -> Column:
     return F.rtrim(without_suffix(F.substring_index(url, HOST, -1), ".git"), F.lit("/"))
 
 
+# Fixed value: what a link to a course ends in.
 COURSE_SLUG = r"/([a-z][a-z0-9-]+-(\d{4}))/?$"
 
 

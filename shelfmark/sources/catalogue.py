@@ -18,6 +18,7 @@ EXPORT_NAMES = {
     "reason": "Reason",
     "cloud": "Cloud",
 }
+# Fixed value: the years that are looked through without a choice.
 DEFAULT_YEARS = ("2021", "2022", "2023", "2024", "2025")
 
 SCHEMA = T.StructType(

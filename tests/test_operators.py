@@ -236,12 +236,12 @@ def test_valid_types_default(spark):
 @pytest.mark.parametrize(
     "path, subpath, want",
     [
-        ("README.md", None, True), ("docs/my_readme.md.bak", None, True), ("docker-compose.yaml", None, True),
-        ("infra/main.tf", None, True), ("dags/x.py", None, True), ("src/kafka/a.py", None, True),
-        ("image.png", None, False), ("readme.PNG", None, False), ("src/util.py", None, False),
+        ("en/Readme.md", None, True), ("docs/my_readme.md.bak", None, True), ("ops/docker-compose.yaml", None, True),
+        ("infra/net.tf", None, True), ("etl/dags/x.py", None, True), ("src/kafka/a.py", None, True),
+        ("kafka/flow.svg", None, False), ("readme.PNG", None, False), ("src/util.py", None, False),
         ("node_modules/kafka.js", None, True), ("x/node_modules/kafka.js", None, False),
-        ("project/README.md", "project", True), ("Project/README.md", "project", True),
-        ("other/README.md", "project", False), ("README.md", "project", True), ("projects/README.md", "project", False),
+        ("week3/README.md", "week3", True), ("Week3/README.md", "week3", True),
+        ("week4/README.md", "week3", False), ("README.md", "week3", True), ("week33/README.md", "week3", False),
         ("a/README.md", "a/readme.md", True), ("a/README.md", "", True),
     ],
 )
