@@ -62,6 +62,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     quality: Column | None = None,
+    draw_col: str | None = None,
 ) -> DataFrame:
     """How many words of each document the mix takes: (id, source, size, source_size, target, taken, copies).
 
@@ -73,14 +74,14 @@ def mix_sources(
 
     A null text has size 0 and takes nothing; a null source is a source of its own; a
     repeated row is drawn each for itself, with an equal key; a null id hashes as an
-    empty one; an empty table gives an empty one. Other columns are dropped first.
+    empty one; keys are those of `draw_col` where that is not the id; an empty table gives an empty one. Other columns are dropped first.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(
         docs[id_col].alias("_id"),
         docs[source_col].alias("_source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        sampling_key(docs[id_col], word_quality(text) if quality is None else quality, seed).alias("_key"),
+        sampling_key(docs[draw_col or id_col], word_quality(text) if quality is None else quality, seed).alias("_key"),
     ).withColumn("_range", F.least(F.floor((1 - F.exp(-F.col("_key"))) * RANGES), F.lit(RANGES - 1)))
     rows = stored(rows)
     ranges = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
