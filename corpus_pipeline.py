@@ -56,7 +56,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; those it does not take are left out."""
     rows = _number(docs)
-    taken = mix_sources(rows, id_col="_row").where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
+    taken = mix_sources(rows, id_col="_row", draw_col="doc_id").where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
     drawn = rows.join(taken, F.col("_row") == F.col("_taken"))
     return drawn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*docs.columns)
 
