@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.blocks import over_blocks, paired_blocks, sides
 from shelfmark.llm.common import stored
 from shelfmark.llm.graph import components
 
@@ -137,22 +138,14 @@ def links(rows: DataFrame, cosine: float, bits: int, bands: int) -> DataFrame:
     """(node, n, root): from each block, the copies linked with a node, and the least node it reaches there."""
     node = rows.schema["node"].dataType.simpleString()
     spread = rows.select("node", "copies", "vec", "bands", F.octet_length("vec").alias("dim"), F.posexplode("bands").alias("band", "bucket"))
-    counts = spread.groupBy("dim", "band", "bucket").agg(F.count("*").alias("k")).where("k > 1")
-    met = spread.join(counts, ["dim", "band", "bucket"]).withColumn("cuts", F.ceil(F.col("k") / BLOCK).cast("int"))
-    met = met.withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("cuts") - 1),
-        lambda c: F.struct(F.least(c, F.col("cut")).alias("lo"), F.greatest(c, F.col("cut")).alias("hi")),
-    )
-    met = met.withColumn("pair", F.explode(pair)).select("dim", "band", "bucket", "pair.lo", "pair.hi", "cut", "node", "copies", "vec", "bands")
-    keys = ["dim", "band", "bucket", "lo", "hi"]
+    keys = ["dim", "band", "bucket"]
+    blocks = paired_blocks(spread, keys, "node", BLOCK)
 
     def solve(block: pa.RecordBatch) -> list[tuple[object, int, object]]:
         ids, copies = block.column("node").to_pylist(), block.column("copies").to_numpy()
         x = unit(np.frombuffer(b"".join(block.column("vec").to_pylist()), "<f8").reshape(len(ids), -1))
         named = np.stack(block.column("bands").to_numpy(zero_copy_only=False))
-        lo, hi, cut = block.column("lo")[0].as_py(), block.column("hi")[0].as_py(), block.column("cut").to_numpy()
-        left, right = np.flatnonzero(cut == lo), np.flatnonzero(cut == hi)
+        left, right = sides(block)
         i, j = block_links(x, named, block.column("band")[0].as_py(), left, right, cosine, bits * bands)
         n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
         order = np.argsort(np.array(ids, object), kind="stable")
@@ -161,37 +154,8 @@ def links(rows: DataFrame, cosine: float, bits: int, bands: int) -> DataFrame:
         root = local_roots(len(ids), place[i], place[j])
         return [(ids[k], int(n[k]), ids[order[root[place[k]]]]) for k in np.flatnonzero(n)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        done: list[tuple[object, int, object]] = []
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done])], ["node", "n", "root"])
-            done.clear()
-            return made
-
-        def settle(table: pa.Table, final: bool) -> pa.Table | None:
-            block = table.combine_chunks().to_batches()[0]
-            names = np.stack([block.column(k).to_numpy() for k in keys])
-            turns = np.append(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(0)) + 1, block.num_rows)
-            begin = 0
-            for end in turns if final else turns[:-1]:
-                if end - begin > 1:
-                    done.extend(solve(block.slice(begin, end - begin)))
-                begin = end
-            return None if final else pa.Table.from_batches([block.slice(begin)])
-
-        for batch in batches:
-            if batch.num_rows:
-                rest = settle(pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]), False)
-                if len(done) > 10_000:
-                    yield out()
-        if rest is not None and rest.num_rows:
-            settle(rest, True)
-        if done:
-            yield out()
-
-    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, f"node {node}, n long, root {node}")
+    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(node, pa.string())
+    return over_blocks(blocks, keys, solve, f"node {node}, n long, root {node}", [("node", kind), ("n", pa.int64()), ("root", kind)])
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
