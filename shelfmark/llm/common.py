@@ -61,7 +61,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about `limit` bytes each, one row at least."""
     sizes = np.asarray(batch.column(column).cast(pa.large_string()).fill_null("").to_numpy(zero_copy_only=False), object)
     lengths = np.fromiter(map(len, sizes), np.int64, len(sizes))
