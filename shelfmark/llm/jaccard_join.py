@@ -25,8 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.blocks import over_blocks, paired_blocks, sides
 from shelfmark.llm.common import U64, joined_bytes, mix, slices, stored
 from shelfmark.llm.graph import components
+from shelfmark.llm.keys import shared_keys
 from shelfmark.llm.shingles import shingle_sets
 
 SKETCH_BITS = 1024
@@ -34,7 +36,11 @@ SKETCH_BITS = 1024
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+#: Sets of a part that are compared at once.
+BLOCK = 512
+#: Parts of up to so many sets are paired by their ids alone; sketches travel only for larger ones.
+FEW = 12
 
 
 @lru_cache(maxsize=8)
@@ -103,70 +109,68 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
 
 
 def shared_parts(docs: DataFrame, size: int, t: Fraction) -> DataFrame:
-    """(key, a): the parts that two or more different sets have, with the sets that have them.
+    """(key, a): the parts that two or more different sets have, with the signatures of these sets."""
 
-    Keys travel packed, many in a row. Of the sets of one batch that share a key only one
-    travels; the others are known to share it already, so a key that very many have
-    brings one entry for each batch to the task that looks for it.
+    def make(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        found = {}
+        for s in shingle_sets(*joined_bytes(part.column("text")), size):
+            if len(s) and (a := signature(s)[0]) not in found:
+                found[a] = part_keys(s, t)
+        keys = np.concatenate([*found.values(), np.zeros(0, np.uint64)])
+        return keys, np.repeat(np.array(list(found), np.int64), [len(k) for k in found.values()])
+
+    return shared_keys(docs.select("text"), make).withColumnRenamed("owner", "a")
+
+
+def close(bits: np.ndarray, others: np.ndarray, n: np.ndarray, m: np.ndarray, t: Fraction) -> np.ndarray:
+    """Whether sets of n and m shingles may be similar, by their sizes and sketches (rows of words).
+
+    |A and B| >= t / (1 + t) * (n + m), so sets differ in at most (1 - t) / (1 + t) * (n + m) shingles.
     """
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 8 * count
+    p, q = t.numerator, t.denominator
+    ok = np.minimum(n, m) * q >= p * np.maximum(n, m)
+    apart = np.zeros(np.broadcast_shapes(bits.shape, others.shape)[:-1], np.int64)
+    for k in range(bits.shape[-1]):
+        apart += np.bitwise_count(bits[..., k] ^ others[..., k])
+    return ok & (apart * (q + p) <= (q - p) * (n + m))
+
+
+def words(sketches: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint64).reshape(len(sketches), SKETCH_BITS // 64)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = 0
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = {}
-                for s in shingle_sets(*joined_bytes(part.column("text")), size):
-                    if len(s) and (a := signature(s)[0]) not in found:
-                        found[a] = part_keys(s, t)
-                keys = np.concatenate([*found.values(), np.zeros(0, np.uint64)])
-                ids = np.repeat(np.array(list(found), np.int64), [len(k) for k in found.values()])
-                order = np.lexsort((ids, keys))
-                keys, ids = keys[order], ids[order]
-                first = np.ones(len(keys), bool)
-                first[1:] = keys[1:] != keys[:-1]
-                often = ~first
-                often[:-1] |= ~first[1:]
-                bucket = (keys % U64(buckets)).astype(np.int64)
-                rows = []
-                turn += 1
-                if often.any():
-                    rows.append(((turn * 7919 + int(bucket[0])) % buckets, True, keys[often].tobytes(), ids[often].tobytes()))
-                keys, ids, bucket = keys[first], ids[first], bucket[first]
-                order = np.argsort(bucket, kind="stable")
-                keys, ids, bucket = keys[order], ids[order], bucket[order]
-                edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                rows += [(i, False, keys[lo:hi].tobytes(), ids[lo:hi].tobytes()) for i, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))], ["bucket", "known", "keys", "ids"]
-                    )
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        out = lambda k, i: pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(i)], ["key", "a"])
-        for batch in batches:
-            for known, k, i in zip(batch.column("known").to_pylist(), batch.column("keys").to_pylist(), batch.column("ids").to_pylist()):
-                k, i = np.frombuffer(k, np.uint64), np.frombuffer(i, np.int64)
-                if known:
-                    yield out(k, i)
-                else:
-                    keys.append(k)
-                    ids.append(i)
-        k, i = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort((i, k))
-        k, i = k[order], i[order]
-        new = np.ones(len(k), bool)
-        new[1:] = (k[1:] != k[:-1]) | (i[1:] != i[:-1])
-        k, i = k[new], i[new]
-        again = np.zeros(len(k), bool)
-        again[1:] = k[1:] == k[:-1]
-        again[:-1] |= again[1:]
-        yield out(k[again], i[again])
-
-    packed = docs.select("text").mapInArrow(pack, "bucket int, known boolean, keys binary, ids binary")
-    return packed.repartition(count, "bucket").mapInArrow(meet, "key long, a long")
+
+def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """(x, y): members of one part, but of different components, that may be similar.
+
+    A part of few sets gives its pairs as they are, at most FEW times its members. In a larger
+    one blocks of sketches are compared, and only close pairs leave a block.
+    """
+    node = members.schema["node"].dataType.simpleString()
+    sized = members.join(members.groupBy("key").agg(F.count("*").alias("k")), "key")
+    few = sized.where(F.col("k") <= FEW).select("key", "node", "component")
+    other = few.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("component").alias("_component"))
+    apart = (F.col("key") == F.col("_key")) & (F.col("node") < F.col("y")) & (F.col("component") != F.col("_component"))
+    paired = few.join(other, apart).select(F.col("node").alias("x"), "y").distinct()
+    rows = sized.where(F.col("k") > FEW).select("key", "node", "component").join(sets.select("node", "n", "sketch"), "node")
+
+    def solve(block: pa.RecordBatch) -> list[tuple]:
+        left, right = sides(block)
+        bits, n = words(block.column("sketch")), block.column("n").to_numpy()
+        _, component = np.unique(np.array(block.column("component").to_pylist()), return_inverse=True)
+        near = close(bits[left][:, None], bits[right][None, :], n[left][:, None], n[right][None, :], t)
+        i, j = np.nonzero(near & (component[left][:, None] != component[right][None, :]))
+        ids = block.column("node").to_pylist()
+        return [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in zip(left[i].tolist(), right[j].tolist())]
+
+    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(node, pa.string())
+    blocks = paired_blocks(rows, ["key"], "node", BLOCK)
+    return paired.unionByName(over_blocks(blocks, ["key"], solve, f"x {node}, y {node}", [("x", kind), ("y", kind)]))
+
+
+def by_size(side: DataFrame) -> DataFrame:
+    """A narrow side of a join: counted, broadcast up to BROADCAST_ROWS rows, and shuffled beyond."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
 
 
 def keyed_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -182,10 +186,8 @@ def keyed_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     ["node", "n", "sketch", "shingles"],
                 )
 
-    wanted = nodes.withColumnRenamed("node", "_node")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    rows = docs.join(wanted, F.col("id") == F.col("_node"), "left_semi")
-    return rows.mapInArrow(run, f"node {docs.schema['id'].dataType.simpleString()}, n long, sketch binary, shingles binary").dropDuplicates(["node"])
+    rows = docs.join(by_size(nodes.withColumnRenamed("node", "_node")), F.col("id") == F.col("_node"), "left_semi")
+    return rows.mapInArrow(run, f"node {docs.schema['id'].dataType.simpleString()}, n long, sketch binary, shingles binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
@@ -197,11 +199,7 @@ def linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(f"n_{s}").to_numpy() for s in "xy")
-            bits = [np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), np.uint64).reshape(len(n), -1) for s in "xy"]
-            apart = np.bitwise_count(bits[0] ^ bits[1]).sum(1)
-            # |A and B| >= t / (1 + t) * (n + m), so sets differ in at most (1 - t) / (1 + t) * (n + m) shingles.
-            small, large, total = np.minimum(n, m), np.maximum(n, m), n + m
-            ok = (apart * (t.denominator + t.numerator) <= (t.denominator - t.numerator) * total) & (small * t.denominator >= t.numerator * large)
+            ok = close(words(batch.column("sketch_x")), words(batch.column("sketch_y")), n, m, t)
             yield batch.select(["x", "y"]).filter(pa.array(ok))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,21 +212,37 @@ def linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
             yield batch.select(["x", "y"]).filter(pa.array(ok, pa.bool_()))
 
     kind = f"x {pairs.schema['x'].dataType.simpleString()}, y {pairs.schema['y'].dataType.simpleString()}"
+    pairs = stored(pairs.distinct())
     small = ["node", "n", "sketch"]
-    met = pairs.join(side(small, "x"), F.col("x") == F.col("node_x")).join(side(small, "y"), F.col("y") == F.col("node_y"))
-    close = stored(met.select("x", "y", "n_x", "n_y", "sketch_x", "sketch_y").mapInArrow(near, kind))
+    met = side(small, "x").join(by_size(pairs), F.col("x") == F.col("node_x")).join(side(small, "y"), F.col("y") == F.col("node_y"))
+    likely = stored(met.select("x", "y", "n_x", "n_y", "sketch_x", "sketch_y").mapInArrow(near, kind).distinct())
     full = ["node", "shingles"]
-    met = close.join(side(full, "y"), F.col("y") == F.col("node_y")).join(side(full, "x"), F.col("x") == F.col("node_x"))
+    hubs = by_size(likely.select(F.col("x").alias("_x")).distinct())
+    left = side(full, "x").join(hubs, F.col("node_x") == F.col("_x"), "left_semi")
+    met = side(full, "y").join(by_size(likely), F.col("y") == F.col("node_y")).join(left, F.col("x") == F.col("node_x"))
     return met.select("x", "y", "shingles_x", "shingles_y").mapInArrow(exact, kind)
 
 
+def joined_by(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links (x, y): only what `found` has not yet joined is looked at."""
+    if found is None:
+        return stored(components(links.toDF("a", "b")))
+    of = lambda side: found.select(F.col("node").alias(f"_{side}"), F.col("component").alias(f"c_{side}"))
+    ends = links.join(of("x"), F.col("x") == F.col("_x"), "left").join(of("y"), F.col("y") == F.col("_y"), "left")
+    more = stored(components(ends.select(F.coalesce("c_x", "x").alias("a"), F.coalesce("c_y", "y").alias("b"))))
+    renamed = more.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    old = found.join(renamed, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+    return stored(old.unionByName(more.join(found, "node", "left_anti")))
+
+
 def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id): classes of documents linked by 100 * |A and B| >= percent * |A or B|.
 
     Shingles are runs of `size` words, A-Z in lower case; a text of fewer words is one shingle,
     a text without words and a null text have none and link with nothing. component_id is
     the smallest id reachable by links. Sets are compared by 64-bit hashes of shingles and
-    named by 128-bit signatures. Repeated rows each return; a row with a null id links with
+    named by 128-bit signatures. Repeated rows each return; rows of one id are one document,
+    with all its texts; a row with a null id links with
     nothing and has a null component. Other columns are dropped; an empty table gives an empty one.
     """
     t = Fraction(percent, 100)
@@ -239,7 +253,7 @@ def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     shared = stored(shared_parts(lean, size, t))
     members = stored(shared.distinct().join(nodes, "a").select("key", "node"))
     sets = stored(keyed_sets(lean, members.select("node").distinct(), size))
-    links = [members.select(F.col("node").alias("x"), F.col("node").alias("y")).limit(0)]
+    found = None
     for turn in range(HUB_ROUNDS + 1):
         if not members.head(1):
             break
@@ -248,23 +262,15 @@ def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
             hubs = members.groupBy("key").agg(first.alias("hub"))
             pairs = members.join(hubs, "key").where("node != hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
         else:  # each with each, but not within a component
-            large = members.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("component", "c").alias("most"))
-            rest = members.join(large, "key").where("component != most").select("key", F.col("node").alias("x"), F.col("component").alias("cx"), "most")
-            other = F.col("component") != F.col("cx")
-            once = (F.col("component") == F.col("most")) | (F.col("x") < F.col("node"))
-            pairs = rest.join(members, "key").where(other & once).select("x", F.col("node").alias("y"))
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        links.append(stored(linked(pairs, sets, t)))
-        found = links[0]
-        for more in links[1:]:
-            found = found.unionByName(more)
-        joined = stored(components(found.toDF("a", "b")))
+            pairs = crossing(members, sets, t)
+        links = stored(linked(pairs, sets, t))
+        if found is None or links.head(1):
+            found = joined_by(found, links)
         if turn < HUB_ROUNDS:
-            marked = members.select("key", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            marked = members.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             mixed = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
             members = stored(marked.join(mixed, "key", "left_semi"))
-    if len(links) == 1:
-        joined = nodes.select(F.col("node"), F.col("node").alias("component")).limit(0)
+    joined = nodes.select("node", F.col("node").alias("component")).limit(0) if found is None else found
     roots = nodes.join(joined, "node", "left").select("a", "b", F.coalesce("component", "node").alias("component_id"))
     out = named.join(roots, ["a", "b"]).select("id", "n_shingles", "component_id")
     alone = digests.where((F.col("n_shingles") == 0) | F.col("id").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
