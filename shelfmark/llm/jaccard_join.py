@@ -36,7 +36,7 @@ SKETCH_BITS = 1024
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
-HUB_ROUNDS = 1
+HUB_ROUNDS = 2
 #: Sets of a part that are compared at once.
 BLOCK = 512
 #: Parts of up to so many sets are paired by their ids alone; sketches travel only for larger ones.
@@ -258,9 +258,14 @@ def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
         if not members.head(1):
             break
         if turn < HUB_ROUNDS:  # each with one hub of its part
-            first = F.min_by("node", F.xxhash64("node", F.lit(turn)))
-            hubs = members.groupBy("key").agg(first.alias("hub"))
-            pairs = members.join(hubs, "key").where("node != hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
+            hubs = members.groupBy("key").agg(F.min_by(F.struct(*[c for c in members.columns if c != "key"]), F.xxhash64("node", F.lit(turn))).alias("hub"))
+            pairs = members.join(hubs, "key").where("node != hub.node")
+            if turn == 0:  # only the hub it shares most parts with: the likeliest to join it
+                votes = pairs.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
+                best = F.max_by("hub", F.struct("n", F.xxhash64("hub")))
+                pairs = votes.groupBy(F.col("node").alias("y")).agg(best.alias("x")).select("x", "y")
+            else:
+                pairs = pairs.where("component != hub.component").select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
         else:  # each with each, but not within a component
             pairs = crossing(members, sets, t)
         links = stored(linked(pairs, sets, t))
