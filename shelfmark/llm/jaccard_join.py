@@ -80,9 +80,17 @@ def part_keys(shingles: np.ndarray, t: Fraction) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """The parity sketch of a whole set."""
-    counts = np.bincount((shingles >> U64(54)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits(counts.astype(np.uint8) & 1).tobytes()
+    """The parity sketch of a whole set: SKETCH_BITS, or more for a large set, two for each shingle."""
+    k = min(20, max(SKETCH_BITS.bit_length() - 1, (2 * len(shingles)).bit_length()))
+    counts = np.bincount((shingles >> U64(64 - k)).astype(np.int64), minlength=1 << k)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def folded(raw: bytes, bits: int) -> bytes:
+    """A sketch as it would be with fewer bits: neighbours are added up."""
+    if len(raw) * 8 == bits:
+        return raw
+    return np.packbits(np.bitwise_xor.reduce(np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(bits, -1), axis=1)).tobytes()
 
 
 def signature(shingles: np.ndarray) -> tuple[int, int]:
@@ -136,8 +144,8 @@ def close(bits: np.ndarray, others: np.ndarray, n: np.ndarray, m: np.ndarray, t:
 
 
 def words(sketches: pa.Array) -> np.ndarray:
-    """Sketches as rows of 64-bit words."""
-    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint64).reshape(len(sketches), SKETCH_BITS // 64)
+    """Sketches, folded to SKETCH_BITS, as rows of 64-bit words."""
+    return np.frombuffer(b"".join(folded(s, SKETCH_BITS) for s in sketches.to_pylist()), np.uint64).reshape(len(sketches), SKETCH_BITS // 64)
 
 
 def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
@@ -152,7 +160,7 @@ def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     other = few.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("component").alias("_component"))
     apart = (F.col("key") == F.col("_key")) & (F.col("node") < F.col("y")) & (F.col("component") != F.col("_component"))
     paired = few.join(other, apart).select(F.col("node").alias("x"), "y").distinct()
-    rows = sized.where(F.col("k") > FEW).select("key", "node", "component").join(sets.select("node", "n", "sketch"), "node")
+    rows = sized.where(F.col("k") > FEW).select("key", "node", "component").join(sets.select("node", "n", F.col("small").alias("sketch")), "node")
 
     def solve(block: pa.RecordBatch) -> list[tuple]:
         left, right = sides(block)
@@ -174,20 +182,21 @@ def by_size(side: DataFrame) -> DataFrame:
 
 
 def keyed_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, n, sketch, shingles) of the documents whose id is in `nodes`."""
+    """(node, n, small, sketch, shingles) of the documents whose id is in `nodes`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(*joined_bytes(part.column("text")), size)
+                bits = [sketch(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["node", "n", "sketch", "shingles"],
+                    [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([folded(b, SKETCH_BITS) for b in bits], pa.binary()),
+                     pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["node", "n", "small", "sketch", "shingles"],
                 )
 
     rows = docs.join(by_size(nodes.withColumnRenamed("node", "_node")), F.col("id") == F.col("_node"), "left_semi")
-    return rows.mapInArrow(run, f"node {docs.schema['id'].dataType.simpleString()}, n long, sketch binary, shingles binary")
+    return rows.mapInArrow(run, f"node {docs.schema['id'].dataType.simpleString()}, n long, small binary, sketch binary, shingles binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
@@ -200,6 +209,11 @@ def linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
         for batch in batches:
             n, m = (batch.column(f"n_{s}").to_numpy() for s in "xy")
             ok = close(words(batch.column("sketch_x")), words(batch.column("sketch_y")), n, m, t)
+            for i in np.flatnonzero(ok).tolist():  # large sets: once more, with all the bits that both have
+                a, b = batch.column("sketch_x")[i].as_py(), batch.column("sketch_y")[i].as_py()
+                if (bits := 8 * min(len(a), len(b))) > SKETCH_BITS:
+                    both = [np.frombuffer(folded(x, bits), np.uint64) for x in (a, b)]
+                    ok[i] = close(both[0], both[1], n[i], m[i], t)
             yield batch.select(["x", "y"]).filter(pa.array(ok))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import pytest
 
 from shelfmark.llm.common import mix
 from shelfmark.llm.graph import components
-from shelfmark.llm.jaccard_join import part_keys, similar_sets
+from shelfmark.llm.jaccard_join import folded, part_keys, similar_sets, sketch
 
 
 def plain_components(nodes, links):
@@ -96,3 +96,13 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert all(got.get(n, n) == c for n, c in want.items()) and set(got) <= set(want)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_sketches_never_overstate_a_difference():
+    rng = np.random.default_rng(3)
+    for n, m in [(10, 12), (600, 610), (3000, 2700), (9000, 4000)]:
+        union = mix(rng.integers(1, 1 << 62, n + 200).astype(np.uint64))
+        a, b = sketch(np.unique(union[:n])), sketch(np.unique(union[n + 200 - m :]))
+        bits = 8 * min(len(a), len(b))
+        apart = np.bitwise_count(np.frombuffer(folded(a, bits), np.uint64) ^ np.frombuffer(folded(b, bits), np.uint64)).sum()
+        assert 0 < apart <= len(np.setxor1d(union[:n], union[n + 200 - m :]))
