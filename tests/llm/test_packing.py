@@ -24,6 +24,13 @@ def test_ids_are_those_of_the_library():
         assert text_ids(PATH).of(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("char", [" ", "\n", "\u3000"])
+@pytest.mark.parametrize("run", [99_999, 100_000, 1_000_000])
+def test_ids_of_long_white_space(char, run):
+    text = "word" * 3_000 + char * run + "y"
+    assert text_ids(PATH).of(text).tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
 def test_cut():
     assert cut(5, 8) == [(0, 5)] and cut(8, 8) == [(0, 8)] and cut(0, 8) == []
     assert cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
