@@ -28,22 +28,36 @@ def _number(docs: DataFrame) -> DataFrame:
     return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
 
 
+def _ordered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number of its own for every row, the smaller the smaller its doc_id; null ids come last, equal ids in any order."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    return _number(rows.orderBy(F.col("doc_id").asc_nulls_last(), "_row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. Equal texts with equal ids share their score."""
-    scores = quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    bad = scores.where("predicted = 0").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_id"), "left_anti")
+    """Documents that the classifier does not reject, each row by its own text."""
+    rows = _number(docs)
+    scores = quality_scores(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col="_row")
+    bad = scores.where("predicted = 0").select(F.col("_row").alias("_bad"))
+    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each class of texts that share four in five of their five-word shingles."""
-    classes = similar_sets(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(classes, F.col("doc_id") == F.col("_id"), "left_anti")
+    """The document of smallest id of each class of texts that share four in five of their five-word shingles.
+
+    A class keeps one row, also where ids are null or repeat.
+    """
+    rows = _ordered(docs)
+    copies = similar_sets(rows, id_col="_row").where("_row != component_id").select(F.col("_row").alias("_copy"))
+    return rows.join(copies, F.col("_row") == F.col("_copy"), "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 bytes and more that one of smaller id has; texts left without a character go."""
-    cut = without_repeats(docs)
+    """Documents without the passages of 50 bytes and more that one before them has; texts left without a character go.
+
+    Before a row are those of smaller ids, and some order of the rows of its own id; null ids come last.
+    """
+    cut = without_repeats(_ordered(docs), id_col="_row")
     gone = (F.col("n_removed") > 0) & (F.trim("kept_text") == "")
     changed = cut.where(~gone | F.col("kept_text").isNull())
     text, n_chars = F.col("kept_text"), F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)

@@ -46,12 +46,14 @@ class RuleModel:
         return 1 / (1 + F.exp(-total))
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, one double column for each of STATISTICS); a null or empty text has zeros."""
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(id, `row_col` if any, one double column for each of STATISTICS); a null or empty text has zeros."""
+    row = [row_col] if row_col else []
     text = F.coalesce(docs[text_col], F.lit(""))
     without = lambda chars: F.char_length(text) - F.char_length(F.translate(text, chars, ""))
     lean = docs.select(
         docs[id_col].alias("_id"),
+        *row,
         docs[text_col].alias("_text"),
         F.size(F.array_distinct(F.split(F.btrim(text, F.lit(SPACES)), WORD.replace("[^", "[")))).alias("n_distinct"),
         without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
@@ -60,7 +62,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         without(".").alias("n_stops"),
     )
     counts = text_counts(lean, "_text")
-    return counts.select(F.col("_id").alias(id_col), *[F.expr(e).cast("double").alias(f"s_{n}") for n, e in STATISTICS.items()])
+    return counts.select(F.col("_id").alias(id_col), *row, *[F.expr(e).cast("double").alias(f"s_{n}") for n, e in STATISTICS.items()])
 
 
 def _paths(x: np.ndarray, y: np.ndarray, names: list[str], rng: np.random.Generator, depth: int, cuts: list[np.ndarray]) -> set:
@@ -152,15 +154,18 @@ def train(stats: DataFrame, labels: DataFrame, label_col: str, id_col: str = "do
     return fit_rules(rows[:, 1:], rows[:, 0], names)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = 12_000) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = 12_000, row_col: str | None = None) -> DataFrame:
     """(id, held_out, score, predicted) of every document; score is high where label 1 is likely.
 
+    `row_col`, a number of the row where ids may be null or repeat, follows the id.
+
     Scores come from statistics of the whole text alone: equal texts score equal, and null
     texts as empty ones. Repeated rows stay, a null id stays and is not held out (its
     remainder is that of an empty text), other columns are dropped; an empty table gives
     an empty one, and no labels at all a score of 0.5 everywhere.
     """
-    stats = stored(statistics(docs, id_col, text_col))
-    model = train(stats, labels, label_col, id_col, sample)
-    scored = stats.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), model.column().alias("score"))
+    row = [row_col] if row_col else []
+    stats = stored(statistics(docs, id_col, text_col, row_col))
+    model = train(stats.drop(*row), labels, label_col, id_col, sample)
+    scored = stats.select(F.col(id_col), *row, held_out(F.col(id_col)).alias("held_out"), model.column().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

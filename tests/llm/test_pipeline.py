@@ -69,6 +69,40 @@ def test_mix_and_packing(kept):
     assert max(room.values()) <= 1024 and len(room) <= 1.05 * sum(room.values()) / 1024 + 2
 
 
+def test_quality_with_null_and_repeated_ids(spark, kept):
+    labelled = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    good = [r for r in kept[1].collect() if r["doc_id"] not in labelled][0]
+    left = {r["doc_id"] for r in kept[1].collect()}
+    bad = [r for r in kept[0].collect() if r["doc_id"] not in left][0]
+    rows = [r.asDict() | {"doc_id": None} for r in kept[0].collect()] + [bad.asDict() | {"doc_id": good["doc_id"]}]
+    docs = kept[0].unionByName(spark.createDataFrame(rows, kept[0].schema)).repartition(3)
+    got = corpus_pipeline.quality(spark, docs, SF).select("doc_id", "text").collect()
+    want = [(r["doc_id"], r["text"]) for r in kept[1].collect()]
+    assert Counter(map(tuple, got)) == Counter(want + [(None, t) for _, t in want])
+
+
+def documents(spark, rows):
+    table = [(i, t, "en", "web", len(t)) for i, t in rows]
+    return spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcd")
+    near = a + " more"
+    rows = [(8, a), (8, a), (None, a), (9, near), (None, near), (None, b), (None, b), (3, c), (3, d), (None, ""), (None, "")]
+    got = corpus_pipeline.near_copies(spark, documents(spark, rows), SF).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter([(8, a), (None, b), (3, c), (3, d), (None, ""), (None, "")])
+
+
+def test_repeated_passages_with_null_and_repeated_ids(spark):
+    p, q = (" ".join(f"{w}{i}" for i in range(40)) for w in "pq")
+    rows = [(None, f"one {p} end"), (7, f"two {p} end"), (7, f"three {p} end"), (None, f"four {q} end"), (None, f"five {q} end"), (9, f"six {p} end")]
+    got = corpus_pipeline.repeated_passages(spark, documents(spark, rows), SF).collect()
+    assert len(got) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in got)
+    assert [r["doc_id"] for r in got if p in r["text"]] == [7]
+    assert [r["doc_id"] for r in got if q in r["text"]] == [None]
+
+
 def test_entry_stands_alone(tmp_path):
     """The entry imports without this package, and does not hide other missing modules."""
     import subprocess
