@@ -83,32 +83,35 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def banded(nodes: DataFrame, bits: int, bands: int) -> DataFrame:
-    """(node, copies, vec, bands): the bucket numbers of every vector, one for each band."""
+    """(node, copies, vec, signs, factor, bands): the code of every vector, made once, and its bucket numbers, one for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power = 1 << np.arange(bits, dtype=np.int64)
         for batch in batches:
             raw = batch.column("vec").to_pylist()
-            out: list[np.ndarray | None] = [None] * len(raw)
+            out: list[tuple | None] = [None] * len(raw)
             for size in {len(r) for r in raw}:
                 at = [i for i, r in enumerate(raw) if len(r) == size]
-                signs, _ = codes(unit(np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(len(at), -1)), bits * bands)
+                signs, factors = codes(unit(np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(len(at), -1)), bits * bands)
                 numbers = signs[:, : bits * bands].reshape(len(at), bands, bits).astype(np.int64) @ power
-                for i, row in zip(at, numbers):
-                    out[i] = row
+                for i, code, factor, row in zip(at, np.packbits(signs, axis=1), factors, numbers):
+                    out[i] = (code.tobytes(), factor, row)
+            kinds = (pa.binary(), pa.float64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("copies"), batch.column("vec"), pa.array(out, pa.list_(pa.int64()))], ["node", "copies", "vec", "bands"]
+                [batch.column("node"), batch.column("copies"), batch.column("vec"), *[pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]],
+                ["node", "copies", "vec", "signs", "factor", "bands"],
             )
 
     return nodes.select("node", "copies", "vec").mapInArrow(
-        run, f"node {nodes.schema['node'].dataType.simpleString()}, copies long, vec binary, bands array<bigint>"
+        run, f"node {nodes.schema['node'].dataType.simpleString()}, copies long, vec binary, signs binary, factor double, bands array<bigint>"
     )
 
 
-def block_links(x: np.ndarray, bands: np.ndarray, band: int, left: np.ndarray, right: np.ndarray, cosine: float, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def block_links(
+    x: np.ndarray, signs: np.ndarray, factors: np.ndarray, bands: np.ndarray, band: int, left: np.ndarray, right: np.ndarray, cosine: float, bits: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (i in left, j in right, i < j where both are) that meet in no earlier band."""
-    signs, factors = codes(x[left], bits)
-    guess, error = estimates(signs, factors, x[right], bits)
+    guess, error = estimates(signs[left], factors[left], x[right], bits)
     i, j = np.nonzero(guess + error[:, None] >= cosine)
     i, j = left[i], right[j]
     new = i != j
@@ -137,7 +140,7 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def links(rows: DataFrame, cosine: float, bits: int, bands: int) -> DataFrame:
     """(node, n, root): from each block, the copies linked with a node, and the least node it reaches there."""
     node = rows.schema["node"].dataType.simpleString()
-    spread = rows.select("node", "copies", "vec", "bands", F.octet_length("vec").alias("dim"), F.posexplode("bands").alias("band", "bucket"))
+    spread = rows.select("node", "copies", "vec", "signs", "factor", "bands", F.octet_length("vec").alias("dim"), F.posexplode("bands").alias("band", "bucket"))
     keys = ["dim", "band", "bucket"]
     blocks = paired_blocks(spread, keys, "node", BLOCK)
 
@@ -146,7 +149,9 @@ def links(rows: DataFrame, cosine: float, bits: int, bands: int) -> DataFrame:
         x = unit(np.frombuffer(b"".join(block.column("vec").to_pylist()), "<f8").reshape(len(ids), -1))
         named = np.stack(block.column("bands").to_numpy(zero_copy_only=False))
         left, right = sides(block)
-        i, j = block_links(x, named, block.column("band")[0].as_py(), left, right, cosine, bits * bands)
+        packed = np.frombuffer(b"".join(block.column("signs").to_pylist()), np.uint8).reshape(len(ids), -1)
+        signs = np.unpackbits(packed, axis=1, count=rotations(x.shape[1], bits * bands).shape[1])
+        i, j = block_links(x, signs, block.column("factor").to_numpy(), named, block.column("band")[0].as_py(), left, right, cosine, bits * bands)
         n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
         order = np.argsort(np.array(ids, object), kind="stable")
         place = np.empty(len(ids), np.int64)

@@ -56,6 +56,17 @@ def test_against_all_pairs(spark, monkeypatch, block):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_codes_are_columns(spark):
+    x = np.random.default_rng(5).normal(size=(9, 10))
+    rows = [(i, 1, bytearray(v.astype("<f8").tobytes())) for i, v in enumerate(x)]
+    nodes = spark.createDataFrame(rows, "node long, copies long, vec binary").repartition(2)
+    signs, factors = codes(unit(x), 8 * 3)
+    for r in embedding_dedup.banded(nodes, 8, 3).collect():
+        code = np.unpackbits(np.frombuffer(r["signs"], np.uint8), count=30)
+        assert code.tolist() == signs[r["node"]].tolist() and r["factor"] == pytest.approx(factors[r["node"]])
+        assert r["bands"] == [int(code[k : k + 8] @ (1 << np.arange(8))) for k in (0, 8, 16)]
+
+
 def test_odd_tables(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]), (None, [1.0, 1.0]), (7, [1.0, 1.0]),
