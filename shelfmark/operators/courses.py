@@ -92,6 +92,28 @@ def totals(status: DataFrame) -> DataFrame:
     )
 
 
+def course_outcomes(courses: DataFrame, states: DataFrame) -> DataFrame:
+    """Courses of a run with their rows, rows in error and `ok`, from the `status` of each row.
+
+    A course is ok when its run left rows and every row came to a status. As in the
+    runner, a row in error is counted and does not fail its course; a course that
+    listed nothing, or was left half way, does.
+    """
+    ran = (
+        states.select(F.col("course").alias("name"), F.expr("try_cast(year AS INT)").alias("year"), "status")
+        .groupBy("name", "year")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("status") == "error").alias("errors"),
+            F.bool_and(F.col("status").isNotNull()).alias("ok"),
+        )
+    )
+    joined = courses.join(ran, ["name", "year"], "left")
+    return joined.withColumns(
+        {"rows": F.coalesce("rows", F.lit(0)), "errors": F.coalesce("errors", F.lit(0)), "ok": F.coalesce("ok", F.lit(False))}
+    )
+
+
 def run_result(outcomes: DataFrame, ok: str = "ok") -> DataFrame:
     """How many courses of a run were done, and whether all were."""
     done, total = F.count_if(ok), F.count(F.lit(1))

@@ -24,10 +24,13 @@ from shelfmark.operators.courses import with_valid_types
 from shelfmark.operators.enrich import (
     apply_states,
     carry_enrichment,
+    changed_rows,
+    merge_results,
     needs_classification,
     needs_processing,
     needs_title,
     retry,
+    single_project,
 )
 from shelfmark.operators.titles import (
     best_titles,
@@ -148,6 +151,29 @@ def run(
     return finish(retry(first, again))
 
 
+def run_single(
+    catalogue: DataFrame,
+    url: str,
+    trees: DataFrame,
+    contents: DataFrame,
+    status: DataFrame,
+    answers: Answers,
+    types: Mapping[str, Sequence[str]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One project enriched anew, complete or not: the whole catalogue with its results, and what changed of it.
+
+    Raises ValueError when the catalogue has no row of the URL. Trailing slashes are ignored.
+    """
+    rows = with_result_columns(catalogue)
+    target = single_project(rows, url)
+    if not target.head(1):
+        raise ValueError(f"no row of project {url!r}")
+    forced = lambda df: enrich(df, trees, contents, status, answers, types, force=True)
+    done = reliable(retry(reliable(forced(target), answers.scratch), forced), answers.scratch)
+    merged = finish(merge_results(rows, done))
+    return merged, changed_rows(target, single_project(merged, url))
+
+
 def propose_titles(df: DataFrame, answers: Answers, need_summary: bool = True) -> DataFrame:
     """Summary, titles, best title for `(project_url, [subject], deployment_type, context)`.
 

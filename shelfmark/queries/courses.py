@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.urls import course_slug
 from shelfmark.operators import courses as co
+from shelfmark.queries.enrich import _FIRST, WORK
+from shelfmark.queries.enrich import states as row_states
 from shelfmark.queries.registry import query
 from shelfmark.queries.views import view
 from shelfmark.streaming.incremental import worklist
@@ -78,6 +80,19 @@ def run_result(spark, d):
     return co.run_result(status(spark, d), "has_data")
 
 
+@query(
+    "course_outcomes",
+    f"""WITH {_FIRST}, listed AS (WITH {_COURSES} SELECT name, year FROM courses),
+ran AS (SELECT o.course AS name, CAST(o.year AS INT) AS year, count(*) AS rows, count(*) FILTER (s.status = 'error') AS errors,
+ bool_and(s.status IS NOT NULL) AS ok FROM submissions o LEFT JOIN states s USING (submission_id) GROUP BY ALL)
+SELECT name, year, coalesce(rows, 0) AS rows, coalesce(errors, 0) AS errors, coalesce(ok, false) AS ok FROM listed LEFT JOIN ran USING (name, year)""",
+    ("home_links", *WORK),
+)
+def course_outcomes(spark, d):
+    outcomes = co.course_outcomes(discovered(spark, d), row_states(spark, d))
+    return outcomes.select("name", "year", "rows", "errors", "ok")
+
+
 def _worklist(mode: str, sql_filter: str):
     @query(
         f"worklist_{mode}",

@@ -500,6 +500,17 @@ def test_merge_overwrites_with_nulls_and_keeps_the_rest(spark):
     assert rows(en.merge_results(df, results)) == [("u1", None, "n", "n", "n"), ("u2", "a", "b", "c", "d")]
 
 
+def test_run_outcomes_come_from_row_states(spark):
+    courses = spark.createDataFrame([("a", 2024), ("b", 2024), ("c", 2024), ("d", 2024)], "name string, year int")
+    states = spark.createDataFrame(
+        [("a", "2024", "success"), ("a", "2024", "error"), ("b", "2024", "skip"), ("b", "2024", None), ("d", "2023", "skip"), ("c", "2024", "skip")],
+        "course string, year string, status string",
+    )
+    outcomes = co.course_outcomes(courses, states)
+    assert rows(outcomes, "name", "rows", "errors", "ok") == [("a", 2, 1, True), ("b", 2, 0, False), ("c", 1, 0, True), ("d", 0, 0, False)]
+    assert tuple(co.run_result(outcomes).first()) == (2, 4, False)
+
+
 def test_changed_rows_single_project_and_limit(spark):
     old = spark.createDataFrame([("u1/", "a", "b", "c", "d"), ("u2", None, "b", "c", "d")], CAT)
     new = old.withColumn("project_title", F.lit("a"))

@@ -114,6 +114,17 @@ def test_whole_run_retries_errors_once(spark, answers):
     }
 
 
+def test_single_project_is_forced_and_must_exist(spark, answers):
+    u = "https://github.com/o/"
+    old = spark.createDataFrame([(u + "good/", "T", "Batch", "r", "GCP"), (u + "poor", "P", "Batch", "r", "GCP")], CAT)
+    merged, changed = enrichment.run_single(old, u + "good", *landed(spark), answers)
+    assert rows(merged, *cl.RESULT_COLUMNS) == [("P", "Batch", "r", "GCP"), ("Taxi Trips Dashboard View", "Batch", "seen", "AWS")]
+    (diff,) = changed.collect()
+    assert (diff["project_url"], diff["old_project_title"], diff["changed"]) == (u + "good/", "T", ["project_title", "reason", "cloud"])
+    with pytest.raises(ValueError):
+        enrichment.run_single(old, u + "absent", *landed(spark), answers)
+
+
 def test_enrichment_from_readmes(spark, answers):
     catalogue = spark.createDataFrame(
         [("u/good", None), ("u/none", None), ("u/has", "Fraud Detection"), ("u/silent", None), (None, None)],
