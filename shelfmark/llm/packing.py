@@ -1,13 +1,15 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
-Bulk-synchronous best-fit. Pieces and gaps are sorted into ranges of equal size: pieces
-of one length, and open sequences of one gap, are alike, so a range is all a
-sweep needs to see, and there are at most `capacity` of either kind of length. In each
-superstep every range of pieces asks for its successor, the smallest gap that
-holds it; ranges that ask for the same gap are served by rank, the longest first;
-the gaps served become smaller ones; what found none opens new sequences. Ranges
-carry (first rank, count), so a superstep moves any number of documents at once, and
-what a superstep costs does not grow with the documents.
+Best-fit-decreasing on the histogram of lengths, in place of bulk-synchronous supersteps:
+pieces of one length, and open sequences of one gap, are alike, so the driver
+matches ranges (first rank, count) of them, one length after the other, the longest first.
+Each goes to the smallest gap that holds it, any number of documents at once; what
+found none opens new sequences. No ranges ask at once, so no conflicts arise.
+
+At most `capacity` - 1 lengths are open. Each opens sequences once, as what it opens holds
+all that is left of it, and splits a range once, when it runs out: there are never more than
+twice as many ranges as lengths, and a range gets at most `capacity` runs, each a piece
+for each of its sequences. So there are at most 2 * capacity ** 2 runs, whatever the input is.
 
 The rows themselves never leave Spark: they get their rank within their length by a
 count per partition and a running sum, and a join on length and rank blocks gives each
@@ -103,7 +105,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Place counts[length] pieces of each length: rows of PLACED, by supersteps over ranges.
+    """Place counts[length] pieces of each length: rows of PLACED, one length after the other.
 
     An open gap range is (first sequence, count). The size of all of this follows from the
     number of different lengths, not from the number of pieces.
@@ -140,7 +142,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
         for first, count in ranges:
             open_gap(gap, first, count)
 
-    for length in sorted(left, reverse=True):  # longest first: rank decides who is served where ranges ask for one gap
+    for length in sorted(left, reverse=True):  # longest first
         while left[length]:
             at = bisect_left(sizes, length)
             if at < len(sizes):
@@ -198,7 +200,7 @@ def pack(
     )
     placed = (
         open_pieces.join(
-            F.broadcast(table),  # at most a few runs for each length and 65 blocks, whatever the input is
+            F.broadcast(table),  # at most 2 * capacity ** 2 runs (see above), and 127 block edges for each length
             (F.col("length") == F.col("_length")) & (F.floor(F.col("rank") / block) == F.col("_block"))
             & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("count")),
         )

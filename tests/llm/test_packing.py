@@ -62,6 +62,13 @@ def test_best_fit_against_one_by_one(seed):
     assert len(used) <= 1.02 * plain_best_fit(lengths, capacity) + 1
 
 
+@pytest.mark.parametrize("counts", [{1: 10**9}, {k: 10**9 // k**2 for k in range(1, 1024)}, {k: 10**6 for k in range(1, 33)}])
+def test_runs_are_bounded(counts):
+    runs = best_fit(counts, 1024)
+    opened = Counter(r[0] for r in runs if r[4] == 0)
+    assert max(opened.values()) == 1 and len(runs) <= 2 * len(counts) * 1024
+
+
 def test_rows(spark):
     rng = random.Random(3)
     texts = [" ".join(rng.choice("the of and word") for _ in range(rng.randint(0, 90))) for _ in range(150)]
