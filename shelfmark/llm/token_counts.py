@@ -14,9 +14,10 @@ started anew, so memory is bounded whatever the texts are.
 
 Texts are cut into chunks that run side by side. The state map of a chunk is
 constant from its first reset on (white space after something else leads every state
-to the same one), so it is kept as: bytes before the reset, end state, count. A scan
-over the chunks composes these maps: each chunk's entry state is its predecessor's
-end state, and only the bytes before its reset are run from there.
+to the same one), so it is kept as: bytes before the reset, end state, count. Each
+chunk's entry state is its predecessor's end state, and only the bytes before its reset
+are run from there. A chunk without a reset has no map: it is walked once its
+predecessor's end is known, so a text without any is counted one chunk after the other.
 """
 
 from __future__ import annotations
@@ -269,7 +270,7 @@ class Transducer:
         states[entered], _ = self.follow(states[entered], data[first[entered]])
         counts = self.walk(data, body, end - body, states)
         counts[entered] += 1
-        # Compose: a chunk may be entered once its predecessor's end state is known.
+        # In turns: a chunk may be entered once its predecessor's end state is known.
         head_end = np.where(nth == 0, begin, np.where(closed, np.minimum(first, end), end))
         known, waiting = closed.copy(), np.flatnonzero(nth > 0)
         while len(waiting):
