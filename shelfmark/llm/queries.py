@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.llm.chat_format import digests, format_chats
 from shelfmark.llm.embedding_dedup import near_vectors
+from shelfmark.llm.fill_middle import fill_in_middle, restored
 from shelfmark.llm.jaccard_join import similar_sets
 from shelfmark.llm.language_id import language_ids
+from shelfmark.llm.lexical_search import lexical_search
+from shelfmark.llm.license_scan import NOTICES, license_scan
 from shelfmark.llm.mixing import mix_sources
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality_classifier import quality_scores
@@ -181,3 +185,112 @@ reach AS (SELECT vec_id AS u, vec_id AS v FROM v UNION SELECT reach.u, links.v F
 least AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN least ON u = vec_id"""
+
+
+# Fixed values of the contract: three phrases and their labels. The operator's own phrases hold them too.
+BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"), {**NOTICES, **BASE_PHRASES})
+    base = F.filter("places", lambda p: p["phrase"].isin(*BASE_PHRASES))
+    # A step of its own, so that the places are looked through once.
+    found = found.withColumn("_base", base)
+    first, labels = F.transform("_base", lambda p: p["first"]), F.transform("_base", lambda p: p["label"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("_base").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def _op11_sql() -> str:
+    """Phrases by their first word's places; expressions by rewriting them until one symbol is left."""
+    phrases = {**NOTICES, **BASE_PHRASES}
+
+    def starts(phrase: str) -> str:
+        holds = " AND ".join(f"w[i + {k}] = '{x}'" if k else f"w[i] = '{x}'" for k, x in enumerate(phrase.split()))
+        return f"list_filter(range(1, len(w) + 1), lambda i: {holds})"
+
+    named = ", ".join(
+        f"CASE WHEN contains(j, ' {p} ') THEN list_transform({starts(p)}, lambda i: struct_pack(phrase := '{p}', label := '{label}', n := {len(p.split())}, word := i - 1)) ELSE [] END"
+        for p, label in phrases.items()
+    )
+    base = ", ".join(f"'{p}'" for p in BASE_PHRASES)
+    label = "regexp_replace(x, '(-only|-or-later|\\+)$', '')"
+    return rf"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM texts),
+joined AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS j FROM words),
+places AS (SELECT *, flatten([{named}]) AS p FROM joined),
+tagged AS (SELECT r, rtrim(regexp_extract(unnest(string_split(t, 'spdx-license-identifier:')[2:]), '^[ \t]*["'']?([a-z0-9.+() \t-]*)', 1), ' ' || chr(9) || '-') AS e FROM texts),
+pieces AS (SELECT row_number() OVER () AS q, r, regexp_extract_all(e, '[()]|[a-z0-9.+-]+') AS x FROM tagged),
+signs AS (SELECT q, r, x, array_to_string(list_transform(x, lambda y: CASE y WHEN 'and' THEN 'o' WHEN 'or' THEN 'o' WHEN 'with' THEN 'w' WHEN '(' THEN '(' WHEN ')' THEN ')' ELSE 'i' END), '') AS s FROM pieces),
+steps AS (SELECT q, r, x, replace(regexp_replace(s, 'iwi', 'e', 'g'), 'i', 'e') AS s, 0 AS step FROM signs
+    UNION ALL SELECT q, r, x, regexp_replace(regexp_replace(s, 'eoe', 'e', 'g'), '\(e\)', 'e', 'g'), step + 1 FROM steps
+    WHERE s <> regexp_replace(regexp_replace(s, 'eoe', 'e', 'g'), '\(e\)', 'e', 'g')),
+valid AS (SELECT r, x FROM steps WHERE s = 'e'),
+ids AS (SELECT r, x[i] AS x FROM (SELECT r, x, unnest(range(1, len(x) + 1)) AS i FROM valid)
+    WHERE x[i] NOT IN ('and', 'or', 'with', '(', ')', 'none', 'noassertion') AND (i = 1 OR x[i - 1] <> 'with')),
+said AS (SELECT r, list(CASE WHEN starts_with({label}, 'cc') THEN regexp_replace({label}, '-[0-9]+(\.[0-9]+)*$', '')
+    ELSE regexp_replace({label}, '\.0$', '') END) AS l FROM ids GROUP BY r),
+based AS (SELECT *, list_filter(p, lambda x: x.phrase IN ({base})) AS b FROM places)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(b)::BIGINT AS n_base,
+    list_min(list_transform(b, lambda x: x.word))::BIGINT AS first_word, list_max(list_transform(b, lambda x: x.word))::BIGINT AS last_word,
+    coalesce(array_to_string(list_sort(list_distinct(list_transform(b, lambda x: x.label))), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list_concat(list_transform(p, lambda x: x.label), coalesce(l, [])))), ','), '') AS labels,
+    CASE WHEN l IS NOT NULL THEN 1.0 WHEN len(list_filter(p, lambda x: x.n >= 4)) > 0 THEN 0.9 WHEN len(p) > 0 THEN 0.6 ELSE 0.0 END::DOUBLE AS score
+FROM based LEFT JOIN said USING (r)"""
+
+
+ORACLES["op11_license_scan"] = _op11_sql()
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Every document scored for every item it shares a term with.
+ORACLES["op12_lexical_search"] = r"""
+WITH lowered AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT r, doc_id, unnest(list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM lowered),
+tfs AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT r, count(*) AS n FROM words GROUP BY r),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, corpus GROUP BY term),
+asked AS (SELECT item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM benchmark),
+often AS (SELECT item_id, term, count(*) AS often FROM asked GROUP BY ALL),
+scores AS (SELECT item_id, r, doc_id, sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+    FROM often JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (r), corpus GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+# Units as a list of each text.
+ORACLES["op13_fill_in_middle"] = """
+WITH units AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS b,
+    ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4 FROM units),
+cut AS (SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM cut"""

@@ -1,0 +1,75 @@
+"""Fill-in-the-middle against a plain list of units."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.llm.fill_middle import BlockTree, checked, fill_in_middle, restored
+
+
+def plain(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text, re.S)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return len(units), "plain", None, None, text
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 20:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+SOME = ["", None, "a", "é", " ", "ab cd", "x<P>y", "<S", "M>", "<", "中文 字符 and words", "naïve café 🙂🙂", "\x00\n\r\t", "a" * 50_000, "ab 1 " * 30_000, "𝔘" * 9_000, "<M>"]
+
+
+@pytest.mark.parametrize("block", [1, 3, 64, 4096])
+def test_against_lists(spark, block):
+    random.seed(block)
+    texts = SOME + ["".join(random.choices("abZ é字🙂<PSM>\n", k=random.randint(0, 300))) for _ in range(200)]
+    if block < 64:
+        texts = [t for t in texts if len(t or "") < 1000]
+    rows = [*enumerate(texts), (5, "the same id"), (5, "the same id"), (None, "no id at all")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, form string, n int")
+    out = fill_in_middle(docs, block=block).withColumn("back", restored(F.col("output"), F.col("form")))
+    got = sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.back) for r in out.collect()), key=repr)
+    want = sorted(((i, *plain(i, t), t or "") for i, t in rows), key=repr)
+    assert got == want
+    assert {r[2] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_cuts_of_a_long_text():
+    text = "".join(random.Random(1).choices(["word", " ", "é", "字", "🙂", "x" * 5000, "\n"], k=3000))
+    tree = BlockTree(text.encode(), 512)
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    assert (tree.units, tree.points) == (len(units), len(text))
+    for k in [0, 1, 2, len(units) // 2, len(units) - 1, len(units)]:
+        head = "".join(units[:k])
+        assert tree.cut(k) == (len(head.encode()), len(head))
+
+
+def test_other_marks_and_rates(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(50)], "k int, t string")
+    marks = ("[pre]", "[suf]", "[mid]")
+    out = fill_in_middle(docs, "other", 100, 100, marks, id_col="k", text_col="t")
+    rows = out.withColumn("back", restored(F.col("output"), F.col("form"), marks)).collect()
+    assert {r.form for r in rows} == {"spm"}
+    assert all(r.back == f"text {r.k} of some words" and r.output.startswith("[suf]") for r in rows)
+    assert {r.form for r in fill_in_middle(docs, fim_percent=0, id_col="k", text_col="t").collect()} == {"plain"}
+
+
+@pytest.mark.parametrize("marks", [("<P>", "<P>", "<M>"), ("aba", "x", "y"), ("ab", "bc", "z"), ("abc", "b", "z"), ("", "b", "z")])
+def test_marks_that_cannot_be_read_back(marks):
+    with pytest.raises(ValueError):
+        checked(marks)
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert fill_in_middle(empty).collect() == []

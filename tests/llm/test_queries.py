@@ -15,7 +15,7 @@ TABLE = {"op5_embedding_dedup": "embeddings"}
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_best_fit_packing"}))
 def test_query(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "labels", "conversations"):
+    for table in ("documents", "embeddings", "labels", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     out = QUERIES[name](spark, SF)
     columns, got = rows_of(out.columns, [tuple(r) for r in out.collect()])
