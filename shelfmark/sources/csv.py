@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.clean import clean_and_deduplicate, missing_to_null, union_by_name
+from shelfmark.operators.clean import clean_and_deduplicate, missing_to_null
+from shelfmark.sources.csv_splits import header_records, records
 
 REQUIRED = ("project_url",)
+#: Files whose headers may be broadcast; those of more are shuffled.
+BROADCAST_FILES = 200_000
 READ_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -18,21 +21,34 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def parsed(text: Column, names: Sequence[str]) -> Column:
+    """A record as a struct of text values; values that lack are null."""
+    kind = ",".join(f"`{n.replace('`', '``')}` string" for n in names)
+    return F.from_csv(text, kind, {k: v for k, v in READ_OPTIONS.items() if k != "header"})
+
+
 def scan_csv(
     spark: SparkSession, path: str | Sequence[str] | DataFrame, schema: T.StructType | None = None
 ) -> DataFrame:
     """One list, all columns text, missing-value tokens as null; a DataFrame is taken as it is.
 
-    Several paths must share one header. Without a schema the names come from
-    the header, which reads the first lines only.
+    Several paths must share one header; without a schema the names come from it. A file of any size is
+    read in splits, also where quoted values hold line ends.
     """
     if isinstance(path, DataFrame):
         return path
     if not isinstance(path, (str, list, tuple)):
         raise ValueError("input must be a path, paths or a DataFrame")
-    reader = spark.read.options(**READ_OPTIONS)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-    return missing_to_null(reader.csv(list(path) if not isinstance(path, str) else path))
+    if schema is None:
+        first = header_records(spark, path).agg(F.min_by("text", "file").alias("text"))
+        found = first.select(header_names(F.col("text")).alias("names")).first()["names"]
+        names = [n or f"_c{i}" for i, n in enumerate(found or [])]
+    else:
+        names = schema.names
+    rows = records(spark, path).where("start > 0 OR nth > 0")
+    if not names:
+        return rows.limit(0).select()
+    return missing_to_null(rows.select(parsed(F.col("text"), names).alias("_r")).select("_r.*"))
 
 
 def header_names(line: Column) -> Column:
@@ -46,60 +62,46 @@ def header_names(line: Column) -> Column:
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """`(file, header, late)` of every CSV file: the names of its header line.
+    """`(file, header, late)` of every CSV file: the names of its header.
 
-    A line of nothing but commas is no header; `late` tells that such lines
-    stand before it. One partial aggregate per file keeps the earliest line, so
-    the shuffle holds a line per file and task.
+    A record of nothing but commas is no header; `late` tells that such records stand before it.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .text(paths if isinstance(paths, str) else list(paths))
-        .where("_metadata.file_block_start = 0")
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("at"),
-            F.regexp_replace("value", "^\ufeff", "").alias("line"),
-        )
-        .withColumn("named_at", F.when(~F.col("line").rlike(r"^[,\s]*$"), F.col("at")))
-    )
-    first = (
-        lines.groupBy("file")
-        .agg(F.min("at").alias("at"), F.min("named_at").alias("named_at"), F.min_by("line", "named_at").alias("line"))
-        .where(F.col("named_at").isNotNull())
-    )
-    names = header_names(F.col("line"))
-    return first.select("file", names.alias("header"), (F.col("at") < F.col("named_at")).alias("late"))
-
-
-def _scan_late(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Lists with empty lines above the header: the header is found among the rows and dropped."""
-    options = {**READ_OPTIONS, "header": False}
-    raw = spark.read.options(**options).schema(string_schema(names)).csv(list(files))
-    is_header = F.lit(True)
-    for name in names:
-        is_header = is_header & F.coalesce(F.btrim(F.col(f"`{name}`")), F.lit("")).eqNullSafe(name)
-    return missing_to_null(raw.where(~is_header)).na.drop("all")
+    found = header_records(spark, paths, glob)
+    return found.select("file", header_names(F.col("text")).alias("header"), "late")
 
 
 def combine_files(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
     """Union by name of all CSV lists below the paths; an error if there are none.
 
-    One read over lists with differing headers would shift their columns, so
-    files are read per distinct header. The driver sees file names and header
-    lines, as it does for any file listing.
+    One read over lists with differing headers would shift their columns, so each record is taken apart
+    by the header of its own file, all in one pass. The driver sees the distinct headers, not the files.
+    Empty rows of lists with empty records above their header are left out.
     """
-    found = headers(spark, paths, glob).groupBy("header", "late")
-    groups = found.agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    if not groups:
+    heads = header_records(spark, paths, glob).withColumn("header", header_names(F.col("text")))
+    shapes = heads.groupBy("header").agg(F.count("*").alias("n"), F.bool_or("late").alias("late")).collect()
+    if not shapes:
         raise ValueError(f"no CSV files found in {paths}")
-    parts = [
-        _scan_late(spark, g["files"], g["header"])
-        if g["late"]
-        else scan_csv(spark, list(g["files"]), string_schema(g["header"]))
-        for g in sorted(groups, key=lambda g: (g["late"], g["header"]))
-    ]
-    return union_by_name(parts)
+    shapes.sort(key=lambda s: (s["late"], s["header"]))
+    rows = records(spark, paths, glob)
+    if len(shapes) == 1 and not shapes[0]["late"]:
+        return missing_to_null(rows.where("start > 0 OR nth > 0").select(parsed(F.col("text"), shapes[0]["header"]).alias("_r")).select("_r.*"))
+    number = F.lit(None).cast("int")
+    for i, s in enumerate(shapes):
+        number = F.when(F.col("header") == F.array(*[F.lit(n) for n in s["header"]]), i).otherwise(number)
+    own = heads.select("file", number.alias("_shape"), F.struct("start", "nth").alias("_head"), "late")
+    own = F.broadcast(own) if sum(s["n"] for s in shapes) <= BROADCAST_FILES else own
+    below = rows.join(own, "file").where(F.struct("start", "nth") > F.col("_head"))
+    structs = [F.when(F.col("_shape") == i, parsed(F.col("text"), s["header"])).alias(f"_r{i}") for i, s in enumerate(shapes)]
+    taken = below.select("late", *structs)
+    names = list(dict.fromkeys(n for s in shapes for n in s["header"]))
+    value = lambda n: F.coalesce(*[F.col(f"_r{i}")[n] for i, s in enumerate(shapes) if n in s["header"]])
+    listed = missing_to_null(taken.select("late", *[value(n).alias(n) for n in names]))
+    filled = F.coalesce(*[F.col(_quoted(n)) for n in names]).isNotNull()
+    return listed.where(~F.col("late") | filled).select(*[_quoted(n) for n in names])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def scan_cleaned(spark: SparkSession, path: str, key: str = "project_url") -> DataFrame:
