@@ -299,6 +299,39 @@ def listing_dedup(spark, d):
     return pg.scraped(view(spark, d, "listing_pages"))
 
 
+@query(
+    "listing_nested",
+    """WITH planted AS (SELECT submission_id, project_url, submission_id % 6 AS kind FROM submissions
+ WHERE regexp_matches(project_url, '^https://github\\.com/[^?#;]')),
+score AS (SELECT * FROM (VALUES (0, '34'), (0, '34'), (2, ''), (2, ''), (3, '5 < 6'), (5, ''), (5, '')) s(kind, score))
+SELECT submission_id, project_url, score FROM planted JOIN score USING (kind)""",
+    ("submissions",),
+)
+def listing_nested(spark, d):
+    pages = view(spark, d, "nested_pages").select(
+        F.col("submission_id").alias("series_id"), F.lit(1).alias("page"), "html"
+    )
+    found = pg.link_rows(pg.page_links(pages))
+    return found.select(F.col("series_id").alias("submission_id"), "project_url", "score")
+
+
+@query(
+    "listing_states",
+    f"""WITH RECURSIVE {_LINKS.strip().replace("listing_pages", "listing_holes")},
+reach AS (SELECT series_id, page, project_url, has_next FROM links WHERE page = 1
+ UNION ALL SELECT l.series_id, l.page, l.project_url, l.has_next FROM reach r JOIN links l ON l.series_id = r.series_id AND l.page = r.page + 1
+ WHERE r.has_next AND r.project_url <> '' AND l.page <= 100),
+read AS (SELECT series_id, count(*) AS pages, count_if(project_url <> '') AS links, max(page) AS last,
+ bool_or(NOT has_next OR project_url = '' OR page = 100) AS ended FROM reach GROUP BY series_id)
+SELECT series_id, CASE WHEN r.pages IS NULL THEN 'missing' WHEN NOT ended THEN 'incomplete' WHEN links = 0 THEN 'empty' ELSE 'complete' END AS status,
+ CAST(coalesce(r.pages, 0) AS BIGINT) AS pages, CAST(coalesce(links, 0) AS BIGINT) AS links, CAST(n - coalesce(r.pages, 0) AS BIGINT) AS beyond
+FROM (SELECT series_id, count(*) AS n FROM links WHERE page <= 100 GROUP BY series_id) a LEFT JOIN read r USING (series_id)""",
+    ("listing_holes",),
+)
+def listing_states(spark, d):
+    return pg.series_states(pg.page_links(view(spark, d, "listing_holes")))
+
+
 @query(
     "archive_section",
     """

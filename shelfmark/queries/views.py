@@ -72,6 +72,20 @@ SELECT author_id AS series_id, CAST(row_number() OVER (PARTITION BY author_id OR
  concat(CASE WHEN project_url IS NULL THEN '<p>none</p>' WHEN submission_id % 5 = 0 THEN concat('<table><tr><td><a href="', project_url, '">p</a></td></tr></table>')
   ELSE concat('<article><a href="', project_url, '">p</a>', CASE WHEN submission_id % 3 = 0 THEN '' ELSE concat('<span> ', CAST(submission_id % 36 AS STRING), ' </span>') END, '</article>') END,
   CASE WHEN submission_id % 9 = 0 THEN '' ELSE '<a aria-label="Next page" href="?page=2">n</a>' END) AS html FROM submissions""",
+    # Some pages of a series are not there, first ones too.
+    "listing_holes": """
+SELECT * FROM listing_pages WHERE (series_id * 7 + page * 3) % 13 <> 0""",
+    # Articles in articles, tables in tables, cells outside of tables, comments, entities and end tags left out.
+    "nested_pages": """
+SELECT submission_id, project_url,
+ CASE WHEN project_url IS NULL THEN '<p>none</p>' ELSE CASE submission_id % 6
+  WHEN 0 THEN concat('<article><div><article><span class="s"> <b> 3 </b> <i> 4 </i> </span><a href="', project_url, '">x</a></article></div><span>7</span></article>')
+  WHEN 1 THEN concat('<td><a href="', project_url, '">p</a></td><tr><th><a href="', project_url, '">p</a></th></tr>')
+  WHEN 2 THEN concat('<table><tr><td><table><tr><td><a href="', project_url, '">p</a></td></tr></table></td><th>no</th></tr></table>')
+  WHEN 3 THEN concat('<article data-x="a > b" ><a class="l" href="', replace(project_url, '://', ':&#x2F;&#47;'), '">p</a><span> 5 &lt; 6 </span></article>')
+  WHEN 4 THEN concat('<!-- <article><a href="', project_url, '">old</a></article> --><article><p>none</p></article>')
+  ELSE concat('<table><tr><td>a<td><a href=', project_url, '>p</a></tr></table><td><a href="', project_url, '">p</a>') END END AS html
+FROM submissions""",
     "home_links": """
 SELECT s_suppkey AS link_id, concat('/', CASE s_suppkey % 5 WHEN 0 THEN 'de-track' WHEN 1 THEN 'ml-track' WHEN 2 THEN 'llm-track' WHEN 3 THEN 'other' ELSE 'De' END, '-', CAST(1990 + s_nationkey % 12 AS STRING), CASE WHEN s_suppkey % 2 = 0 THEN '/' ELSE '' END) AS href FROM supplier""",
     "home_pages": """
@@ -101,10 +115,10 @@ def ctes(*names: str) -> list[str]:
 
 def with_views(sql: str, *names: str) -> str:
     """A check in SQL with the views it reads written in front of it."""
-    own = re.match(r"\s*WITH\s+", sql)
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql)
     parts = ctes(*names)
     if own:
-        return f"WITH {', '.join(parts)}, {sql[own.end():]}" if parts else sql
+        return f"WITH {own.group(1) or ''}{', '.join(parts)}, {sql[own.end():]}" if parts else sql
     return f"WITH {', '.join(parts)} {sql}" if parts else sql
 
 

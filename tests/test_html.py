@@ -1,0 +1,132 @@
+"""Links of nested pages against the parser of the standard library and a tree of elements."""
+
+from __future__ import annotations
+
+import random
+from html import unescape
+from html.parser import HTMLParser
+
+import pytest
+
+from shelfmark.functions import html as fh
+from tests.test_functions import apply
+
+
+class Tree(HTMLParser):
+    """Elements as [tag, attributes, children]; an end tag closes what was left open inside its element."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = ["", {}, []]
+        self.open = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(reversed(attrs)), []]
+        self.open[-1][2].append(node)
+        if tag not in ("br", "img"):
+            self.open.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        self.open[-1][2].append([tag, dict(reversed(attrs)), []])
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                break
+
+    def handle_data(self, data):
+        self.open[-1][2].append(data)
+
+
+def below(node, *tags):
+    for child in node[2]:
+        if not isinstance(child, str):
+            if child[0] in tags:
+                yield child
+            yield from below(child, *tags)
+
+
+def text(node):
+    return "".join(c.strip() if isinstance(c, str) else text(c) for c in node[2])
+
+
+def plain(page):
+    import re
+
+    tree = Tree()
+    tree.feed(page)
+    tree.close()
+    good = lambda url: bool(re.match(r"(?i:https)://github\.com/[^?#;]", url))
+    found = []
+    for article in below(tree.root, "article"):
+        link = next((a for a in below(article, "a") if "href" in a[1]), None)
+        if link and good(link[1]["href"] or ""):
+            span = next(below(article, "span"), None)
+            found.append((link[1]["href"], text(span) if span else ""))
+    if found:
+        return found
+    cells = {}
+    for table in below(tree.root, "table"):
+        for row in below(table, "tr"):
+            for cell in below(row, "td", "th"):
+                link = next((a for a in below(cell, "a") if "href" in a[1]), None)
+                if link and good(link[1]["href"] or ""):
+                    cells[id(cell)] = link[1]["href"]
+    order = [id(c) for c in below(tree.root, "td", "th")]
+    return [(cells[i], "") for i in order if i in cells]
+
+
+U = "https://github.com/u/"
+CASES = [
+    f'<article><div><article><span> <b> 3 </b> <i> 4 </i> </span><a href="{U}in">x</a></article></div><span>7</span></article>',
+    f'<td><a href="{U}out">p</a></td><table><td><a href="{U}norow">p</a></td></table>',
+    f'<table><tr><td><table><tr><td><a href="{U}deep">p</a></td></tr></table></td><th><a href="{U}head">p</a></th></tr></table>',
+    "<article><a href='https:&#x2F;&#47;github.com&#X2f;u&amp;#39;&quot;'>p</a><span>&lt;5&#62; &nbsp;</span></article>",
+    f'<!-- <article><a href="{U}old">o</a></article> --><script>"<article><a href={U}no>"</script><article><a href={U}new>n</a></article>',
+    f'<article title="a > b" data-y=\'<a href="x">\'><a title="href=x" href="{U}t">p</a><span/>after<span>9</span></article>',
+    f'<article><a name="x" data-href="{U}not">n</a><a href>e</a><a href="{U}second">s</a></article><article><a href = "{U}spaced">s</a></article>',
+    f'<table><tr><td>a<td><a href={U}unclosed>p</a></tr><tr></td><td><a href="{U}b">b</a></table>',
+    f'<ARTICLE><A HREF="{U}upper">U</A><SPAN>1<br>2 <!-- c --> 3</SPAN></ARTICLE></article></table>',
+    f'<article><span>open <a href="{U}left">p</a></article><article><a href="{U}next">p</a><span> a <span> b </span> c </span><span>d</span></article>',
+    "", "<p>none</p>", "plain text <", "<article>", "a < b <article", f'<article><a href="{U}x&y=1&zz;&#xD800;&#99999999;">p</a></article>'.replace("&#xD800;&#99999999;", ""),
+]
+
+
+@pytest.mark.parametrize("case", range(len(CASES)))
+def test_planted_pages(spark, case):
+    (got,) = apply(spark, [CASES[case]], fh.page_projects)
+    assert [tuple(p) for p in got] == plain(CASES[case])
+
+
+def test_random_pages(spark):
+    draw = random.Random(11)
+    bits = [
+        "<article>", "</article>", "<table>", "</table>", "<tr>", "</tr>", "<td class='c'>", "</td>", "<th>", "</th>", "<span>", "</span>",
+        f'<a href="{U}1">l</a>', f"<a href='{U}2&amp;b'>", f"<a href={U}3>", "</a>", '<a href="http://example.com">x</a>', "<a>", " 5 ", "x<b> y </b>z", "&#51;", "<br>", "<!-- <td> -->",
+    ]
+    pages = ["".join(draw.choices(bits, k=draw.randint(1, 25))) for _ in range(1500)]
+    got = apply(spark, pages, fh.page_projects)
+    for page, found in zip(pages, got):
+        assert [tuple(p) for p in found] == plain(page), page
+    assert sum(map(bool, got)) > 200
+
+
+def test_entities(spark):
+    texts = ["&lt;&amp;lt; &#39;&#x27;&quot;&apos;&nbsp;", "a & b &unknown; &", "&#128512;&#x1F600;!", "no", "", None, "&#55296;&#x110000;", "&#0065;&#65", "&&amp;&"]
+    want = [t if t is None else unescape(t) for t in texts]
+    assert apply(spark, texts, fh.unescaped) == want
+
+
+def test_next_page(spark):
+    pages = [
+        '<a aria-label="Next page" href="?page=2">n</a>', "<a href='?' class=x aria-label='Next page'>n</a>", '<!-- <a aria-label="Next page"> -->',
+        '<a title=\'aria-label="Next page"\'>n</a>', '<a aria-label="Next pages">', '<b aria-label="Next page">', None,
+    ]
+    assert apply(spark, pages, fh.has_next_page) == [True, True, False, False, False, False, False]
+
+
+def test_a_long_page(spark):
+    page = "".join(f'<article><a href="{U}{i}">x</a><span>{i}</span></article>' for i in range(600)) + "<p>" + "x" * 300_000
+    (got,) = apply(spark, [page], fh.page_projects)
+    assert [tuple(p) for p in got] == [(f"{U}{i}", str(i)) for i in range(600)]
