@@ -52,14 +52,21 @@ class Answers:
     """
 
     def __init__(
-        self, model: ans.Model, path: str, max_parallel: int = 8, scratch: str | None = None
+        self,
+        model: ans.Model,
+        path: str,
+        max_parallel: int = 8,
+        scratch: str | None = None,
+        slice_size: int = 64,
     ):
         self.model, self.path, self.max_parallel = model, path, max_parallel
-        self.scratch = scratch
+        self.scratch, self.slice_size = scratch, slice_size
 
     def of(self, requests: DataFrame) -> DataFrame:
         """Requests with their answers, checkpointed: the next requests build on them."""
-        answered = ans.stored_answers(requests, self.model, self.path, self.max_parallel)
+        answered = ans.stored_answers(
+            requests, self.model, self.path, self.max_parallel, self.slice_size
+        )
         return reliable(answered.drop("prompt"), self.scratch)
 
 
