@@ -58,13 +58,14 @@ def with_result_columns(df: DataFrame, cols: Sequence[str] = RESULT_COLUMNS) ->
 
 
 def update_titles(df: DataFrame, titles: DataFrame, key: str = KEY) -> DataFrame:
-    """Replace the title column by the titles of a second table with unique keys.
+    """Replace the title column by the titles of a second table.
 
-    A row without a new title gets null: the column is replaced as a whole.
+    A row without a new title gets null: the column is replaced as a whole. Of several titles of one key, null
+    keys too, the smallest counts, so that no row is multiplied.
     """
-    new = titles.select(F.col(key).alias("_key"), F.col("project_title").alias("_title"))
+    once = titles.groupBy(F.col(key).alias("_key")).agg(F.min("project_title").alias("_title"))
     kept = [F.col(c) for c in df.columns if c != "project_title"]
-    joined = df.join(new, df[key].eqNullSafe(new["_key"]), "left")
+    joined = df.join(once, df[key].eqNullSafe(once["_key"]), "left")
     return joined.select(*kept, F.col("_title").alias("project_title"))
 
 

@@ -34,11 +34,28 @@ def tracked_name(slug: Column, tracked: Mapping[str, str]) -> Column:
     return F.coalesce(*[F.when(slug.startswith(p), name) for p, name in tracked.items()])
 
 
+def name_by_prefix(slugs: DataFrame, tracked: DataFrame, slug: str = "slug") -> DataFrame:
+    """Rows with `name`, that of the first tracked prefix their slug starts with; rows without one are left out.
+
+    `tracked` is a table `(prefix, name, position)` of any size; the smallest position is the first. A slug is listed
+    under each of its beginnings, as long as the longest prefix at most, so that an equal join finds its prefixes; rows meet
+    them once for each distinct slug. Equal positions go by prefix, an empty prefix fits every slug.
+    """
+    longest = tracked.agg(F.max(F.length("prefix"))).first()[0] or 0
+    length = F.least(F.length(slug), F.lit(longest))
+    beginnings = F.transform(F.sequence(F.lit(0), length), lambda n: F.substring(F.col(slug), F.lit(1), n))
+    listed = slugs.select(slug).where(F.col(slug).isNotNull()).distinct()
+    listed = listed.select(slug, F.explode(beginnings).alias("prefix"))
+    first = F.min_by("name", F.struct("position", "prefix")).alias("name")
+    return slugs.join(listed.join(tracked, "prefix").groupBy(slug).agg(first), slug)
+
+
 def discover(
-    links: DataFrame, tracked: Mapping[str, str], base: str, position: str = "link_id"
+    links: DataFrame, tracked: Mapping[str, str] | DataFrame, base: str, position: str = "link_id"
 ) -> DataFrame:
     """Tracked courses among home page links `(position, href)`, each slug once.
 
+    What is tracked is a few settings {prefix: name}, which become one expression, or a table (see `name_by_prefix`).
     Where a slug stands first is not in the result, and its name and year depend
     on the slug alone, so repeats are dropped by a distinct that combines per
     partition; `position` is kept as the place of the first link.
@@ -49,7 +66,10 @@ def discover(
         .groupBy(F.col("_c.slug").alias("slug"), F.col("_c.year").alias("year"))
         .agg(F.min("_pos").alias(position))
     )
-    named = once.withColumn("name", tracked_name(F.col("slug"), tracked))
+    if isinstance(tracked, DataFrame):
+        named = name_by_prefix(once, tracked)
+    else:
+        named = once.withColumn("name", tracked_name(F.col("slug"), tracked))
     return (
         named.where(F.col("name").isNotNull())
         .select("name", "year", "slug", listing_url(F.col("slug"), base).alias("url"), position)

@@ -8,6 +8,7 @@ may hold one null URL.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,35 +27,55 @@ NO_URL = "project URL is missing"
 NO_REASON = "no reason to append the title note to"
 
 
-def first_per_key(df: DataFrame, order_by: Sequence[str | Column], key: str = KEY) -> DataFrame:
+def key_columns(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def catalogue_key(df: DataFrame) -> list[str]:
+    """What names a row of a catalogue: the URL, within its course and year where there are such columns."""
+    return [*[c for c in ("course", "year") if c in df.columns], KEY]
+
+
+def first_per_key(df: DataFrame, order_by: Sequence[str | Column], key: str | Sequence[str] = KEY) -> DataFrame:
     """The first row of each key; the cut happens before the shuffle, so hot keys stay small.
 
-    Grouped by the two expressions a null-safe join hashes by, so that such a
+    Grouped by the two expressions a null-safe join hashes a column by, so that such a
     join on the key needs no further shuffle of this side.
     """
-    k = F.col(key)
-    order = Window.partitionBy(F.coalesce(k, F.lit("")), F.isnull(k)).orderBy(*order_by)
+    by = [e for k in key_columns(key) for e in (F.coalesce(F.col(k).cast("string"), F.lit("")), F.isnull(F.col(k)))]
+    order = Window.partitionBy(*by).orderBy(*order_by)
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
+def keyed(df: DataFrame, key: str | Sequence[str], side: str) -> list[Column]:
+    """The key columns of one side of a join, under names of their own."""
+    return [F.col(k).alias(f"_{side}{i}") for i, k in enumerate(key_columns(key))]
+
+
+def same_key(key: str | Sequence[str], side: str) -> Column:
+    """Whether the key columns equal those `keyed` has named; null is a value."""
+    alike = [F.col(k).eqNullSafe(F.col(f"_{side}{i}")) for i, k in enumerate(key_columns(key))]
+    return reduce(lambda a, b: a & b, alike)
+
+
 def carry_enrichment(
     cleaned: DataFrame,
     old: DataFrame,
     cols: Sequence[str] = RESULT_COLUMNS,
     order_by: Sequence[str | Column] = RESULT_COLUMNS,
-    key: str = KEY,
+    key: str | Sequence[str] = KEY,
 ) -> DataFrame:
     """Give the cleaned list the results of an earlier catalogue; old keys not listed vanish.
 
     A key several times in the old catalogue counts by its first row in the
-    given order.
+    given order. The key may be of several columns: `catalogue_key` names those of a list.
     """
     present = [c for c in cols if c in old.columns]
     first = first_per_key(old, order_by, key).select(
-        F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in present]
+        *keyed(old, key, "k"), *[F.col(c).alias(f"_{c}") for c in present]
     )
     kept = [c for c in cleaned.columns if c not in present]
-    joined = cleaned.join(first, F.col(key).eqNullSafe(F.col("_key")), "left")
+    joined = cleaned.join(first, same_key(key, "k"), "left")
     carried = joined.select(*kept, *[F.col(f"_{c}").alias(c) for c in present])
     return with_result_columns(carried, cols)
 
@@ -175,17 +196,17 @@ def apply_states(df: DataFrame, force: Column | bool = False) -> DataFrame:
 
 
 def merge_results(
-    df: DataFrame, results: DataFrame, cols: Sequence[str] = RESULT_COLUMNS, key: str = KEY
+    df: DataFrame, results: DataFrame, cols: Sequence[str] = RESULT_COLUMNS, key: str | Sequence[str] = KEY
 ) -> DataFrame:
-    """Write results, unique by key, over the rows they belong to; other rows stay.
+    """Write results over the rows they belong to; other rows stay.
 
-    A result overwrites with its nulls too.
+    A result overwrites with its nulls too. Of several results of one key (null is one) the first by its values
+    counts, so that no row is multiplied.
     """
     cols = [c for c in cols if c in results.columns]
-    new = results.select(
-        F.col(key).alias("_key"), F.lit(True).alias("_has"), *[F.col(c).alias(f"_{c}") for c in cols]
-    )
-    joined = df.join(new, F.col(key).eqNullSafe(F.col("_key")), "left")
+    once = first_per_key(results, [F.asc_nulls_last(c) for c in cols] or [F.lit(1)], key)
+    new = once.select(*keyed(results, key, "k"), F.lit(True).alias("_has"), *[F.col(c).alias(f"_{c}") for c in cols])
+    joined = df.join(new, same_key(key, "k"), "left")
     merged = {
         c: F.when(F.col("_has"), F.col(f"_{c}")).otherwise(
             F.col(c) if c in df.columns else F.lit(None)
@@ -199,14 +220,32 @@ def retry(df: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run the rows in error once more, forced, in place of their first results.
 
     `step` takes the rows without their status and returns each of them with new
-    results and status. Rows not in error keep theirs. `df` is read twice:
-    checkpoint it first when it is costly.
+    results and status. Rows not in error keep theirs. Nothing runs where no row failed,
+    which a look for the first failed row tells. `df` is read for that and for
+    both parts: checkpoint it first when it is costly.
     """
     in_error = F.coalesce(F.col("status") == "error", F.lit(False))
-    again = step(df.where(in_error).drop("status"))
+    failed = df.where(in_error)
+    if not failed.head(1):
+        return df
+    again = step(failed.drop("status"))
     return df.where(~in_error).unionByName(again.select(*df.columns))
 
 
+def retry_states(df: DataFrame, failure: str = "failure") -> DataFrame:
+    """`apply_states`, and for rows in error once more, forced and without the failure of the first time, in one pass.
+
+    For steps whose facts stand in the row already: both outcomes are expressions over it, so the rows are
+    read once, and a row is worked out a second time only where it failed.
+    """
+    first = df.withColumn("_state", result_state())
+    kept = [c for c in df.columns if c not in (*RESULT_COLUMNS, "status", failure)]
+    results = [F.col(f"_state.{c}").alias(c) for c in RESULT_COLUMNS]
+    again = first.select(*kept, "_state", *results, F.lit(None).cast("string").alias(failure))
+    last = F.when(F.col("_state.status") == "error", result_state(True)).otherwise(F.col("_state"))
+    return again.select(*kept, last.alias("_last")).select(*kept, "_last.*")
+
+
 def status_counts(df: DataFrame) -> DataFrame:
     """Rows per status as one row; a retried row counts by its last status."""
     names = ("success", "skip", "error")
@@ -221,17 +260,35 @@ def run_metrics(df: DataFrame, seconds: float) -> DataFrame:
     return counted.withColumn("rows_per_second", rate)
 
 
+def changes(before: Sequence[Column], after: Sequence[Column], cols: Sequence[str] = RESULT_COLUMNS) -> Column:
+    """The names of the result columns whose values differ; null is a value."""
+    return F.array_compact(F.array(*[F.when(~a.eqNullSafe(b), c) for a, b, c in zip(before, after, cols)]))
+
+
 def changed_rows(
-    old: DataFrame, new: DataFrame, cols: Sequence[str] = RESULT_COLUMNS, key: str = KEY
+    old: DataFrame, new: DataFrame, cols: Sequence[str] = RESULT_COLUMNS, key: str | Sequence[str] = KEY
 ) -> DataFrame:
-    """Rows whose results differ: key, names of the changed columns, old and new values."""
-    before = old.select(F.col(key).alias("_key"), *[F.col(c).alias(f"old_{c}") for c in cols])
-    after = new.select(key, *[F.col(c).alias(f"new_{c}") for c in cols])
-    differs = lambda c: ~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
-    changed = F.array_compact(F.array(*[F.when(differs(c), c) for c in cols]))
-    return (
-        after.join(before, F.col(key).eqNullSafe(F.col("_key")))
-        .withColumn("changed", changed)
-        .where(F.size("changed") > 0)
-        .drop("_key")
-    )
+    """Rows whose results differ between two tables: key, names of the changed columns, old and new values.
+
+    Keys are unique in the new table; of the old one the first row of a key by its values counts. Where old values
+    stand beside the new ones, `changed_states` needs no join.
+    """
+    names = key_columns(key)
+    once = first_per_key(old, [F.asc_nulls_last(c) for c in cols], key)
+    before = once.select(*keyed(old, key, "k"), *[F.col(c).alias(f"old_{c}") for c in cols])
+    after = new.select(*names, *[F.col(c).alias(f"new_{c}") for c in cols])
+    met = after.join(before, same_key(key, "k")).drop(*[f"_k{i}" for i in range(len(names))])
+    changed = changes([F.col(f"old_{c}") for c in cols], [F.col(f"new_{c}") for c in cols], cols)
+    return met.withColumn("changed", changed).where(F.size("changed") > 0)
+
+
+def changed_states(df: DataFrame, force: Column | bool = False, key: str | Sequence[str] = KEY) -> DataFrame:
+    """What `apply_states` would change, from the rows it would be given: their own results are the old ones.
+
+    The same columns as `changed_rows`, in one pass without a join.
+    """
+    cols = list(RESULT_COLUMNS)
+    state = df.withColumn("_state", result_state(force))
+    changed = changes([F.col(c) for c in cols], [F.col(f"_state.{c}") for c in cols], cols)
+    old, new = [F.col(c).alias(f"old_{c}") for c in cols], [F.col(f"_state.{c}").alias(f"new_{c}") for c in cols]
+    return state.select(*key_columns(key), *new, *old, changed.alias("changed")).where(F.size("changed") > 0)

@@ -84,12 +84,26 @@ def where(df: DataFrame, **specs: OneOf | InRange | Matches) -> DataFrame:
     return df
 
 
-def has_few_values(df: DataFrame, col: str, limit: int = CATEGORY_LIMIT) -> bool:
-    """Whether a column has fewer than `limit` distinct values, nulls not counted.
+#: A sketch of distinct values holds this many hashes (as a power of two); up to there its count is exact.
+SKETCH = 12
 
-    One exact job: distinct values combine per task, and `limit` of them are enough.
+
+def distinct_sketch(col: str, log_size: int = SKETCH) -> Column:
+    """A mergeable sketch of the distinct values of a column of any plain type, nulls not counted; bounded in size."""
+    value = F.when(F.col(col).isNotNull(), F.xxhash64(F.col(col)))
+    return F.theta_sketch_estimate(F.theta_sketch_agg(value, log_size))
+
+
+def few_values(df: DataFrame, cols: Sequence[str], limit: int = CATEGORY_LIMIT) -> dict[str, bool]:
+    """Whether each column has fewer than `limit` distinct values, nulls not counted: one pass for all, exact.
+
+    Each column is one bounded sketch per task, so rows are neither copied per column nor shuffled by value.
     """
-    return df.where(F.col(col).isNotNull()).select(col).distinct().limit(limit).count() < limit
+    if not cols:
+        return {}
+    log_size = max(4, (limit - 1).bit_length() + 1)
+    found = df.agg(*[distinct_sketch(c, log_size).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return {c: (found[i] or 0) < limit for i, c in enumerate(cols)}
 
 
 def filter_chain(
@@ -107,6 +121,9 @@ def filter_chain(
     `specs` has everything selected, which for a range means that nulls go.
     List-valued columns are passed over. Entries of the three filter classes
     say their kind themselves and cost no look at the data.
+
+    One pass tells the kinds of all columns that are still to come. Filters only make values fewer, so a
+    column with few keeps them; the others are looked at again, together, once a filter has changed the rows.
     """
     specs = dict(specs or {})
     unknown = set(specs) - set(df.columns)
@@ -118,12 +135,20 @@ def filter_chain(
     # A number without an entry only loses its missing values: without any, its kind is moot.
     open_ranges = [c for c in numeric if specs.get(c) is None]
     gaps = _with_missing(out, open_ranges) if open_ranges else set()
+    named = (OneOf, InRange, Matches)
+    asked = [f.name for f in fields if not isinstance(specs.get(f.name), named) and (specs.get(f.name) is not None or f.name in gaps)]
+    few: dict[str, bool] = {}
+    changed = True
     for name in (f.name for f in fields):
         spec = specs.get(name)
-        if not isinstance(spec, (OneOf, InRange, Matches)):
-            if spec is None and name not in gaps:
+        if not isinstance(spec, named):
+            if name not in asked:
                 continue
-            if has_few_values(out, name):
+            if changed and not few.get(name):
+                left = [c for c in asked[asked.index(name) :] if not few.get(c)]
+                few.update(few_values(out, left))
+                changed = False
+            if few[name]:
                 spec = None if spec is None else OneOf(spec)
             elif name in numeric:
                 spec = InRange(*(spec or ()))
@@ -131,6 +156,7 @@ def filter_chain(
                 spec = Matches(spec, case_sensitive) if spec else None
         if spec is not None:
             out = out.where(spec.test(F.col(name)))
+            changed = True
     return out
 
 
@@ -154,31 +180,29 @@ def range_bounds(df: DataFrame, col: str, steps: int = 100) -> DataFrame:
 def profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """One row per column with distinct count, smallest and largest value as text.
 
-    All columns are read in one pass. `exact=False` counts with a sketch, which
-    needs no shuffle of the values and is the choice for wide, large tables.
+    All columns are read in one pass of bounded sketches, whose counts are exact for columns of up to some thousand
+    values. With `exact`, each column with more is then counted by itself, from its own values alone.
     """
-    count = F.count_distinct if exact else F.approx_count_distinct
     measures = [
         m
-        for c in cols
+        for i, c in enumerate(cols)
         for m in (
-            count(F.col(c)).alias(f"{c}#n"),
-            F.min(c).cast("string").alias(f"{c}#min"),
-            F.max(c).cast("string").alias(f"{c}#max"),
+            distinct_sketch(c).alias(f"n{i}"),
+            F.min(c).cast("string").alias(f"min{i}"),
+            F.max(c).cast("string").alias(f"max{i}"),
         )
     ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"`{c}#n`").alias("n_distinct"),
-                F.col(f"`{c}#min`").alias("min"),
-                F.col(f"`{c}#max`").alias("max"),
-            )
-            for c in cols
-        ]
-    )
-    return df.agg(*measures).select(F.inline(rows))
+    found = df.agg(*measures).first()
+    kind = "column string, n_distinct long, min string, max string"
+    rows = [(c, found[f"n{i}"] or 0, found[f"min{i}"], found[f"max{i}"]) for i, c in enumerate(cols)]
+    many = {c for c, n, _, _ in rows if exact and n >= 1 << SKETCH}
+    out = df.sparkSession.createDataFrame([r for r in rows if r[0] not in many], kind)
+    for c, _, low, high in rows:
+        if c in many:
+            count = df.agg(F.count_distinct(c).alias("n_distinct"))
+            ends = (F.lit(low).cast("string").alias("min"), F.lit(high).cast("string").alias("max"))
+            out = out.unionByName(count.select(F.lit(c).alias("column"), "n_distinct", *ends))
+    return out
 
 
 # ---------------------------------------------------------------- counts

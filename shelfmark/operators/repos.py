@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.answers import decoded_payload, strictly_decoded
 from shelfmark.functions.text import any_of, cut, strip
+from shelfmark.operators.keysets import key_bitmap, maybe_among
 
 KEYS = ("owner", "repo")
 
@@ -162,7 +163,6 @@ def ranked_files(
     listed = listed.withColumn(
         "_inside", (F.col("_folder") != "") & (F.col("_folder") != F.lower("path"))
     )
-    best = [F.desc("_inside"), F.asc("_depth"), F.asc("path")]
     asked = projects.withColumn("_asked", F.lower(F.coalesce("subpath", F.lit(""))))
     # A folder is looked up under its own name and under the root; one look at the trees serves both.
     names = F.when(F.col("_asked") == "", F.array(F.lit(""))).otherwise(F.array("_asked", F.lit("")))
@@ -182,6 +182,22 @@ def ranked_files(
     return asked.join(ranked.select(*keys, "_asked", "path", "rank"), [*keys, "_asked"]).drop("_asked")
 
 
+def wanted_texts(
+    files: DataFrame, contents: DataFrame, keys: Sequence[str] = KEYS, per_file: int | None = None
+) -> DataFrame:
+    """`(keys, path, _ref, content)` of files that are asked for: the latest landing of each, '' as ref where it had none.
+
+    A bitmap of the files asked for goes to the scan of the contents, so that other texts are not moved at all, and
+    texts are cut to `per_file` characters there. Empty texts are left out.
+    """
+    text = F.col("content") if per_file is None else F.substring("content", 1, per_file)
+    on = [*keys, "path"]
+    kept = [*on, F.coalesce("ref", F.lit("")).alias("_ref"), text.alias("content")]
+    kept += ["landed_at"] if "landed_at" in contents.columns else []
+    near = maybe_among(contents.where(F.length("content") > 0).select(*kept), key_bitmap(files, on), on)
+    return one_per_key(near, [*on, "_ref"]).drop("landed_at")
+
+
 def with_contents(
     files: DataFrame, contents: DataFrame, keys: Sequence[str] = KEYS, per_file: int | None = None
 ) -> DataFrame:
@@ -190,13 +206,8 @@ def with_contents(
     Empty texts are left out, a text landed several times counts once, and texts
     are cut to `per_file` characters before they are shuffled.
     """
-    text = F.col("content") if per_file is None else F.substring("content", 1, per_file)
-    on = [*keys, "_ref", "path"]
-    kept = [*keys, "path", F.coalesce("ref", F.lit("")).alias("_ref"), text.alias("content")]
-    kept += ["landed_at"] if "landed_at" in contents.columns else []
-    texts = one_per_key(contents.where(F.length("content") > 0).select(*kept), on)
     asked = files.withColumn("_ref", F.coalesce("ref", F.lit("")))
-    return asked.join(texts.drop("landed_at"), on).drop("_ref")
+    return asked.join(wanted_texts(files, contents, keys, per_file), [*keys, "_ref", "path"]).drop("_ref")
 
 
 def key_files(
@@ -212,15 +223,18 @@ def key_files(
     Texts come from the branch of the URL, or else the default branch, even
     where the tree was found on a fallback branch. Where neither is known, they
     come from what was landed without a ref, or else from the branch of the tree.
+    The contents are read once: whether a path was landed without a ref is seen beside its texts.
     """
     keys = list(keys)
+    on = [*keys, "path"]
     ranked = ranked_files(projects, trees, k, keys)
-    plain = contents.where(F.col("ref").isNull() & (F.length("content") > 0))
-    plain = plain.select(*keys, "path").distinct().withColumn("_plain", F.lit(True))
+    texts = wanted_texts(ranked, contents, keys, per_file)
+    plain = F.max(F.col("_ref") == "").over(Window.partitionBy(*on))
+    texts = texts.withColumn("_plain", plain)
     known = F.coalesce(F.nullif("branch", F.lit("")), "default_branch")
-    wanted = F.when(known.isNotNull(), known).when(F.col("_plain").isNull(), F.col("tree_branch"))
-    found = ranked.join(plain, [*keys, "path"], "left").withColumn("ref", wanted).drop("_plain")
-    return with_contents(found, contents, keys, per_file)
+    unnamed = F.when(F.col("_plain"), F.lit(None).cast("string")).otherwise(F.col("tree_branch"))
+    found = ranked.join(texts, on).withColumn("ref", F.when(known.isNotNull(), known).otherwise(unnamed))
+    return found.where(F.coalesce("ref", F.lit("")) == F.col("_ref")).drop("_ref", "_plain")
 
 
 def best_readme(files: DataFrame, n: int = 700, by: Sequence[str] = KEYS) -> DataFrame:

@@ -24,6 +24,7 @@ from shelfmark.operators.courses import with_valid_types
 from shelfmark.operators.enrich import (
     apply_states,
     carry_enrichment,
+    catalogue_key,
     changed_rows,
     merge_results,
     needs_classification,
@@ -31,6 +32,7 @@ from shelfmark.operators.enrich import (
     needs_title,
     retry,
     single_project,
+    work_limit,
 )
 from shelfmark.operators.titles import (
     best_titles,
@@ -45,6 +47,10 @@ from shelfmark.operators.urls import parse_repo_url
 from shelfmark.session import reliable
 
 
+#: The name of a row within a run.
+ROW = "_row_key"
+
+
 class Answers:
     """Where the answers of a run come from: a model and the table that keeps its answers.
 
@@ -67,7 +73,26 @@ class Answers:
         answered = ans.stored_answers(
             requests, self.model, self.path, self.max_parallel, self.slice_size
         )
-        return reliable(answered.drop("prompt"), self.scratch)
+        return self.keep(answered.drop("prompt"))
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """A table that later steps read several times, with its lineage cut."""
+        return reliable(df, self.scratch)
+
+
+class DirectAnswers:
+    """Answers of a cheap, deterministic model: asked where they are needed and kept nowhere, so nothing is written."""
+
+    def __init__(self, model: ans.Model):
+        self.model = model
+
+    def of(self, requests: DataFrame) -> DataFrame:
+        hashed = ans.with_request_hash(requests)
+        given = ans.infer(hashed.select("request_hash", "prompt"), self.model)
+        return hashed.join(given, "request_hash", "left").drop("request_hash", "prompt")
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return df
 
 
 def enrich(
@@ -82,33 +107,33 @@ def enrich(
     """Title, deployment type, reason and cloud of every row that needs them, with a status.
 
     Rows that need nothing pass by untouched: they take no part in any join.
-    `catalogue` is `(project_url, [course], result columns)`, unique by URL.
+    `catalogue` is `(project_url, [course, year], result columns)`, unique by course, year and URL.
     The gathered texts are checkpointed, since every request reads them again.
     """
     rows = with_result_columns(catalogue)
-    work = rows.where(needs_processing(force))
+    # A row is named by course, year and URL: the same URL may be handed in again another year.
+    work = rows.where(needs_processing(force)).withColumn(ROW, F.to_json(F.struct(*catalogue_key(rows))))
     done = rows.where(~needs_processing(force)).withColumn("status", F.lit("skip"))
 
     parsed = parse_repo_url(work)
     found = parsed.where(F.col("owner").isNotNull())
     # One row per project, read three times below.
-    chosen = reliable(repos.choose_tree(found, trees, status), answers.scratch)
+    chosen = answers.keep(repos.choose_tree(found, trees, status))
     layouts = ("classification", "title")
     files = repos.key_files(chosen, trees, contents, per_file=repos.longest_cut(layouts))
-    texts = repos.contexts(files.select(KEY, "rank", "path", "content"), layouts, [KEY]).withColumnRenamed(
+    texts = repos.contexts(files.select(ROW, "rank", "path", "content"), layouts, [ROW]).withColumnRenamed(
         "classification_context", "context"
     )
 
-    facts = chosen.select(KEY, "not_found")
-    state = parsed.join(facts, KEY, "left").join(texts, KEY, "left")
-    state = reliable(
+    facts = chosen.select(ROW, "not_found")
+    state = parsed.join(facts, ROW, "left").join(texts, ROW, "left")
+    state = answers.keep(
         state.withColumns(
             {
                 "not_found": F.coalesce("not_found", F.lit(False)),
                 "has_files": F.col("context").isNotNull(),
             }
-        ),
-        answers.scratch,
+        )
     )
 
     asked = state.where(F.col("has_files") & needs_classification(force))
@@ -116,23 +141,23 @@ def enrich(
         asked = asked.withColumn("course", F.lit(None).cast("string"))
     asked = with_valid_types(asked, types or {})
     classified = ans.parse_answers(answers.of(ans.class_requests(asked))).select(
-        KEY,
+        ROW,
         F.col("deployment_type").alias("new_type"),
         F.col("deployment_reason").alias("new_reason"),
         F.col("cloud_provider").alias("new_cloud"),
     )
-    state = state.join(classified, KEY, "left")
+    state = state.join(classified, ROW, "left")
 
     type_now = F.when(needs_classification(force), F.col("new_type")).otherwise(
         F.col("deployment_type")
     )
     titling = state.where(F.col("has_files") & needs_title(force)).select(
-        KEY, type_now.alias("deployment_type"), F.col("title_context").alias("context")
+        ROW, KEY, type_now.alias("deployment_type"), F.col("title_context").alias("context")
     )
-    titled = propose_titles(titling, answers).select(
-        KEY, "summary", F.col("best_title").alias("new_title")
+    titled = propose_titles(titling, answers, by=ROW).select(
+        ROW, "summary", F.col("best_title").alias("new_title")
     )
-    state = state.join(titled, KEY, "left").withColumn("failure", F.lit(None).cast("string"))
+    state = state.join(titled, ROW, "left").withColumn("failure", F.lit(None).cast("string"))
     kept = [*rows.columns, "status"]
     finished = apply_states(state, force).select(*kept)
     return finished.unionByName(done.select(*kept))
@@ -146,14 +171,22 @@ def run(
     status: DataFrame,
     answers: Answers,
     types: Mapping[str, Sequence[str]] | None = None,
+    limit: int = 0,
 ) -> DataFrame:
     """A whole enrichment: results carried over, rows enriched, errors tried once more, texts tidied.
 
-    `listed` is a cleaned list, `old` an earlier catalogue of it or None. Write
-    the result before reading it again as the old one.
+    `listed` is a cleaned list, `old` an earlier catalogue of it or None; where both have course and year, a URL
+    carries its results within them alone. With a `limit` only the first rows of the list are worked on, and
+    returned. `operators.enrich.run_metrics` sums up what comes back. Write the result before
+    reading it again as the old one.
     """
-    rows = carry_enrichment(listed, old) if old is not None else with_result_columns(listed)
-    first = reliable(enrich(rows, trees, contents, status, answers, types), answers.scratch)
+    if old is None:
+        rows = with_result_columns(listed)
+    else:
+        key = catalogue_key(listed) if set(catalogue_key(listed)) <= set(old.columns) else KEY
+        rows = carry_enrichment(listed, old, key=key)
+    rows = work_limit(rows, limit, catalogue_key(rows))
+    first = answers.keep(enrich(rows, trees, contents, status, answers, types))
     again = lambda failed: enrich(failed, trees, contents, status, answers, types, force=True)
     return finish(retry(first, again))
 
@@ -176,13 +209,14 @@ def run_single(
     if not target.head(1):
         raise ValueError(f"no row of project {url!r}")
     forced = lambda df: enrich(df, trees, contents, status, answers, types, force=True)
-    done = reliable(retry(reliable(forced(target), answers.scratch), forced), answers.scratch)
-    merged = finish(merge_results(rows, done))
-    return merged, changed_rows(target, single_project(merged, url))
+    done = answers.keep(retry(answers.keep(forced(target)), forced))
+    key = catalogue_key(rows)
+    merged = finish(merge_results(rows, done, key=key))
+    return merged, changed_rows(target, single_project(merged, url), key=key)
 
 
-def propose_titles(df: DataFrame, answers: Answers, need_summary: bool = True) -> DataFrame:
-    """Summary, titles, best title for `(project_url, [subject], deployment_type, context)`.
+def propose_titles(df: DataFrame, answers: Answers, need_summary: bool = True, by: str = KEY) -> DataFrame:
+    """Summary, titles, best title for `(project_url, [subject], deployment_type, context)`, unique by the column `by`.
 
     Titles are asked for with a summary only, or with `need_summary` off in any case.
     """
@@ -192,8 +226,8 @@ def propose_titles(df: DataFrame, answers: Answers, need_summary: bool = True) -
     asked = title_requests(summarised.where(ready))
     scored = best_titles(score_titles(parse_titles(answers.of(asked))))
     scored = scored.drop("response", "error")
-    second = answers.of(to_regenerate(scored)).select(KEY, "response")
-    final = with_second_answers(scored, second, KEY)
+    second = answers.of(to_regenerate(scored)).select(by, "response")
+    final = with_second_answers(scored, second, by)
     silent = summarised.where(~ready)
     return final.unionByName(silent, allowMissingColumns=True)
 

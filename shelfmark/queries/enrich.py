@@ -341,13 +341,7 @@ def states(spark, d):
 
 
 def retried(spark, d):
-    known = ("submission_id", "project_url", "author_id", "course", *RESULTS)
-
-    def step(failed):
-        rows = with_facts(failed.select(*known), spark, d, failing=False)
-        return en.apply_states(rows, force=True)
-
-    return en.retry(states(spark, d).select(*known, "status"), step)
+    return en.retry_states(with_facts(subs(spark, d), spark, d))
 
 
 @query("enrich_states", f"WITH {_FIRST} SELECT {', '.join(ROW)} FROM states", WORK)
@@ -392,7 +386,7 @@ SELECT * FROM diff WHERE changed <> ''""",
     WORK,
 )
 def changed_rows(spark, d):
-    diff = en.changed_rows(subs(spark, d), states(spark, d), key="submission_id")
+    diff = en.changed_states(with_facts(subs(spark, d), spark, d), key="submission_id")
     return diff.withColumn("changed", F.array_join("changed", ","))
 
 

@@ -9,6 +9,7 @@ from shelfmark.functions.keywords import CLOUD_KEYWORDS, DEPLOYMENT_KEYWORDS, wo
 from shelfmark.operators import keywords as kw
 from shelfmark.operators import repos as rp
 from shelfmark.operators.answers import infer, with_request_hash
+from shelfmark.operators.taxonomy import classify_by_table
 from shelfmark.operators.titles import summary_requests
 from shelfmark.queries.registry import query
 from shelfmark.queries.views import table, view
@@ -307,3 +308,32 @@ def model_hook(spark, d):
     asked = table(spark, d, "conversations").select(F.col("text").alias("prompt"))
     model = lambda prompts: [str(len(p)) for p in prompts]
     return infer(with_request_hash(asked), model).select("request_hash", "response")
+
+
+# A taxonomy that is a table: two words of every benchmark text, as keywords of seven labels.
+_TABLE = """
+keywords AS (SELECT DISTINCT lower(regexp_extract(text, '([a-zA-Z]+ [a-zA-Z]+)', 1)) AS keyword, CAST(item_id % 7 AS INT) AS label_order FROM benchmark),
+named AS (SELECT keyword, label_order, concat('label', CAST(label_order AS STRING)) AS label FROM keywords WHERE keyword <> '')"""
+
+
+@query(
+    "keyword_table",
+    f"""WITH {_TABLE.replace('STRING', 'VARCHAR')},
+held AS (SELECT doc_id, label, label_order, keyword FROM documents, named
+ WHERE contains(lower(text), keyword) AND regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_])' || keyword || '($|[^\\p{{L}}\\p{{N}}_])')),
+counted AS (SELECT doc_id, label, label_order, count(DISTINCT keyword) AS n, min(keyword) AS keyword FROM held GROUP BY ALL)
+SELECT doc_id, label, keyword, n FROM counted QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, label_order) = 1""",
+)
+def keyword_table(spark, d):
+    words = F.lower(F.regexp_extract("text", "([a-zA-Z]+ [a-zA-Z]+)", 1))
+    named = table(spark, d, "benchmark").select(words.alias("keyword"), (F.col("item_id") % 7).cast("int").alias("label_order")).distinct()
+    taxonomy = named.where("keyword <> ''").select(
+        F.lit("benchmark").alias("kind"),
+        F.lit("most").alias("rule"),
+        F.concat(F.lit("label"), F.col("label_order").cast("string")).alias("label"),
+        "label_order",
+        "keyword",
+        F.lit(0).alias("keyword_order"),
+    )
+    found = classify_by_table(table(spark, d, "documents"), taxonomy, "doc_id", "text")
+    return found.select("doc_id", "label", "keyword", "n")

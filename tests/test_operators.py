@@ -539,3 +539,59 @@ def test_changed_rows_single_project_and_limit(spark):
     assert (diff["project_url"], diff["changed"], diff["old_project_title"]) == ("u2", ["project_title"], None)
     assert rows(en.single_project(old, "u1"), "project_url") == [("u1/",)]
     assert en.work_limit(old, 1).collect()[0]["project_url"] == "u1/" and en.work_limit(old, 0).count() == 2
+
+
+def test_retry_in_one_pass_and_without_failures(spark):
+    rows_in = [("u1", None, None, None, None, "boom"), ("u2", "T", "Batch", "r", "GCP", None), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows_in, CAT + ", failure string").withColumns(
+        {"not_found": F.lit(False), "has_files": F.lit(True), "new_type": F.lit("Batch"), "new_reason": F.lit("why"), "new_cloud": F.lit("AWS"),
+         "summary": F.lit("s"), "new_title": F.lit("New")}
+    )
+    got = rows(en.retry_states(df), "project_url", "project_title", "reason", "status")
+    assert got == sorted([("u1", "New", "why", "success"), ("u2", "T", "r", "skip"), (None, "Error", en.NO_URL, "error")], key=repr)
+    first = en.apply_states(df)
+    again = lambda failed: en.apply_states(failed.withColumn("failure", F.lit(None).cast("string")), force=True)
+    names = ["project_url", "project_title", "reason", "status"]
+    assert rows(en.retry(first, again), *names) == got
+
+    def never(failed):
+        raise AssertionError("nothing failed")
+
+    assert rows(en.retry(first.where("status <> 'error'"), never), "project_url") == [("u2",)]
+
+
+def test_results_of_null_and_repeated_keys_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("u1", "a", "b", "c", "d"), (None, "x", "x", "x", "x"), (None, "y", "y", "y", "y")], CAT)
+    results = spark.createDataFrame([("u1", "2", "n", "n", "n"), ("u1", "1", "n", "n", "n"), (None, "z", "z", "z", "z"), (None, "w", "w", "w", "w")], CAT)
+    assert rows(en.merge_results(df, results), "project_url", "project_title") == sorted([("u1", "1"), (None, "w"), (None, "w")], key=repr)
+    assert rows(cl.update_titles(df, results), "project_url", "project_title") == sorted([("u1", "1"), (None, "w"), (None, "w")], key=repr)
+    found = en.changed_rows(results, df.where("project_title <> 'y'"))
+    assert rows(found, "project_url", "old_project_title", "new_project_title") == sorted([("u1", "1", "a"), (None, "w", "x")], key=repr)
+
+
+def test_kinds_of_columns_in_one_pass(spark):
+    df = spark.range(5000).select(
+        F.col("id"), (F.col("id") % 9).alias("few"), F.when(F.col("id") % 2 == 0, (F.col("id") % 20).cast("string")).alias("ten"),
+        F.lit(None).cast("double").alias("none"), (F.col("id") % 9).cast("decimal(10,2)").alias("dec"), (F.col("id") % 11 > 3).alias("flag"),
+    )
+    assert ex.few_values(df, ["id", "few", "ten", "none", "dec", "flag"]) == {"id": False, "few": True, "ten": False, "none": True, "dec": True, "flag": True}
+    found = {r["column"]: (r["n_distinct"], r["min"], r["max"]) for r in ex.profile(df, df.columns).collect()}
+    assert found["id"] == (5000, "0", "4999") and found["ten"] == (10, "0", "8") and found["none"] == (0, None, None) and found["flag"] == (2, "false", "true")
+    rough = {r["column"]: r["n_distinct"] for r in ex.profile(df, ["id", "few"], exact=False).collect()}
+    assert rough["few"] == 9 and abs(rough["id"] - 5000) < 500
+    plan = ex.profile(df, ["id", "few", "ten"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_tracked_prefixes_as_a_table(spark):
+    names = {"a": "one", "ab-": "two", "b": "three", "bcd": "four", "zz": "five", **{f"p{i}": f"n{i}" for i in range(500)}}
+    table = spark.createDataFrame([(p, n, i) for i, (p, n) in enumerate(names.items())], "prefix string, name string, position int")
+    hrefs = ["/ab-x-2024", "/a-2024/", "/bcd-2021", "/zzz-2020", "/q-2020", "/p17-2022", "/p170-x-2022", "/about", None, "/ab-x-2024/"]
+    links = spark.createDataFrame(list(enumerate(hrefs)), "link_id int, href string")
+    as_table, as_settings = co.discover(links, table, "https://c"), co.discover(links, names, "https://c")
+    assert [tuple(r) for r in as_table.collect()] == [tuple(r) for r in as_settings.collect()]
+    assert as_table.count() == 5
+    # the first in the given order counts, not the longest
+    turned = table.withColumn("position", -F.col("position"))
+    assert {r.slug: r.name for r in co.discover(links, turned, "https://c").collect()}["ab-x-2024"] == "two"
+    assert co.discover(links, table.limit(0), "https://c").collect() == []

@@ -195,3 +195,38 @@ def test_counts_combine_before_their_shuffle(spark):
     for counted in (ex.counts(df, "row"), ex.count_pivot(df, "row", "col", ["b"]), ex.pair_counts(df, "row", "col")):
         assert "partial_count" in plan_of(counted)
     assert "TakeOrderedAndProject" in plan_of(ex.counts(df, "row", 10))
+
+
+def test_a_url_in_two_years_is_two_rows(spark, answers):
+    u = "https://github.com/o/"
+    cat = "course string, year string, " + CAT
+    rows_in = [("x", "2023", u + "good", None, None, None, None), ("x", "2024", u + "good", "Kept", "Batch", "r", "GCP"),
+               ("y", "2023", u + "good", None, None, None, None), ("x", "2024", u + "poor", None, None, None, None)]
+    catalogue = spark.createDataFrame(rows_in, cat)
+    done = enrichment.enrich(catalogue, *landed(spark), answers)
+    got = rows(done, "course", "year", "project_url", "project_title", "status")
+    assert got == sorted([
+        ("x", "2023", u + "good", "Taxi Trips Dashboard View", "success"), ("x", "2024", u + "good", "Kept", "skip"),
+        ("y", "2023", u + "good", "Taxi Trips Dashboard View", "success"), ("x", "2024", u + "poor", "Better taxi trips dashboard", "success"),
+    ], key=repr)
+    # results are carried within their course and year
+    listed = catalogue.select("course", "year", "project_url")
+    old = spark.createDataFrame([("x", "2023", u + "good", "Old", "Batch", "r", "GCP"), ("x", "2022", u + "poor", "No", "Batch", "r", "GCP")], cat)
+    run = enrichment.run(listed, old, *landed(spark), answers)
+    titles = {(r["course"], r["year"], r["project_url"]): r["project_title"] for r in run.collect()}
+    assert len(titles) == 4 and titles["x", "2023", u + "good"] == "Old" and titles["x", "2024", u + "poor"] != "No"
+    assert enrichment.run(listed, old, *landed(spark), answers, limit=1).count() == 1
+
+
+def test_a_whole_run_that_keeps_nothing(spark):
+    """Answers asked within the plan: the same rows as with stored ones, and no folder."""
+    u = "https://github.com/o/"
+    catalogue = cl.with_result_columns(spark.createDataFrame([(u + r,) for r in ["good", "poor", "bare"]], "project_url string"))
+
+    def model(prompts):
+        return ["DEPLOYMENT: Batch" if p.startswith("Classify") else "a summary" if p.startswith("Describe") else "1. Good summary view" for p in prompts]
+
+    done = enrichment.enrich(catalogue, *landed(spark), enrichment.DirectAnswers(model))
+    assert rows(done, "project_url", "project_title", "deployment_type") == sorted([
+        (u + "good", "Good summary view", "Batch"), (u + "poor", "Good summary view", "Batch"), (u + "bare", "Unknown", "Unknown"),
+    ], key=repr)
