@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 #: Keywords of one automaton, which every task holds; a longer table is read in blocks, with a pass over the texts each.
 BLOCK = 200_000
-HIT = "struct<kind:string,label:string,label_order:int,keyword:string,keyword_order:int>"
+HIT = "struct<kind:string,rule:string,label:string,label_order:int,keyword:string,keyword_order:int>"
 # Four letters outside ASCII that match an ASCII letter when case is ignored.
 ALIKE = str.maketrans({"ſ": "s", "ı": "i", "İ": "i", "K": "k"})
 
@@ -50,8 +50,8 @@ def _word(c: str) -> bool:
 def _hits(rows: DataFrame, block: list[tuple], key: str) -> DataFrame:
     """(key, hits) of rows (key, text): the distinct keywords of the block in each text, as whole words."""
     by_keyword: dict[str, list[dict]] = {}
-    for kind, label, label_order, keyword, keyword_order in block:
-        entry = {"kind": kind, "label": label, "label_order": label_order, "keyword": keyword, "keyword_order": keyword_order}
+    for kind, rule, label, label_order, keyword, keyword_order in block:
+        entry = {"kind": kind, "rule": rule, "label": label, "label_order": label_order, "keyword": keyword, "keyword_order": keyword_order}
         by_keyword.setdefault(folded(keyword), []).append(entry)
     by_keyword.pop("", None)
     words = list(by_keyword)
@@ -99,7 +99,7 @@ def taxonomy_hits(df: DataFrame, taxonomy: DataFrame, key: str, col: str = "cont
     reads the table in blocks of BLOCK rows, which bounds what it and each task hold; every block is one pass over the texts.
     """
     rows = df.select(key, F.col(col).alias("text"))
-    named = taxonomy.where(F.length("keyword") > 0).select("kind", "label", "label_order", "keyword", "keyword_order").distinct()
+    named = taxonomy.where(F.length("keyword") > 0).select("kind", "rule", "label", "label_order", "keyword", "keyword_order").distinct()
     blocks = max(1, -(-named.count() // BLOCK))
     out = None
     for b in range(blocks):
@@ -115,11 +115,9 @@ def classify_by_table(df: DataFrame, taxonomy: DataFrame, key: str, col: str = "
 
     `keyword` is the first one in list order of the chosen label, `n` its number of distinct keywords.
     """
-    rules = taxonomy.select("kind", "rule").distinct()
     hits = taxonomy_hits(df, taxonomy, key, col).select(key, "hit.*")
     first = F.min(F.struct("keyword_order", "keyword")).alias("first")
-    by_label = hits.groupBy(key, "kind", "label", "label_order").agg(F.count_distinct("keyword").alias("n"), first)
-    by_label = by_label.join(F.broadcast(rules), "kind")
+    by_label = hits.groupBy(key, "kind", "rule", "label", "label_order").agg(F.count_distinct("keyword").alias("n"), first)
     rank = F.struct(F.when(F.col("rule") == "most", -F.col("n")).otherwise(0).alias("n"), "label_order", "label")
     chosen = F.min_by(F.struct("label", F.col("first.keyword").alias("keyword"), "n"), rank)
     return by_label.groupBy(key, "kind").agg(chosen.alias("_c")).select(key, "kind", "_c.*")
