@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +36,34 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/shelfmark-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read again: cuts lineage, survives executors."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Within, what an action shuffles goes when the action is done: every later one starts from tables."""
     before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # what was shuffled to make the table is of no more use
+    spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read again: cuts lineage, survives executors."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
+    with tidy(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing reads any more: whatever was made of them is stored itself."""
+    for df in tables:
+        if path := getattr(df, "stored_at", None):
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def held_out(doc_id: Column) -> Column:

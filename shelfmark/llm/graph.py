@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,6 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.withColumnRenamed("m", "v")).distinct())
+        before, edges = edges, stored(small.unionByName(least.withColumnRenamed("m", "v")).distinct())
+        discard(before)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

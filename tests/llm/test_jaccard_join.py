@@ -11,7 +11,7 @@ import pytest
 
 from shelfmark.llm.common import mix
 from shelfmark.llm.graph import components
-from shelfmark.llm.jaccard_join import folded, part_keys, similar_sets, sketch
+from shelfmark.llm.jaccard_join import Sketches, part_keys, similar_sets, sketch
 
 
 def plain_components(nodes, links):
@@ -98,11 +98,51 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_sketches_never_overstate_a_difference():
+@pytest.mark.parametrize("small", [True, False])
+def test_sketches_never_overstate_a_difference(small):
     rng = np.random.default_rng(3)
-    for n, m in [(10, 12), (600, 610), (3000, 2700), (9000, 4000)]:
-        union = mix(rng.integers(1, 1 << 62, n + 200).astype(np.uint64))
-        a, b = sketch(np.unique(union[:n])), sketch(np.unique(union[n + 200 - m :]))
-        bits = 8 * min(len(a), len(b))
-        apart = np.bitwise_count(np.frombuffer(folded(a, bits), np.uint64) ^ np.frombuffer(folded(b, bits), np.uint64)).sum()
-        assert 0 < apart <= len(np.setxor1d(union[:n], union[n + 200 - m :]))
+    sizes = [(10, 12), (600, 610), (3000, 2700), (9000, 4000), (90, 91), (361, 363)]
+    unions = [mix(rng.integers(1, 1 << 62, n + m // 9 + 5).astype(np.uint64)) for n, m in sizes]
+    pairs = [(np.unique(u[:n]), np.unique(u[len(u) - m :])) for u, (n, m) in zip(unions, sizes)]
+    sets = [x for p in pairs for x in p]
+    both = Sketches([sketch(x, small) for x in sets], np.array([len(x) for x in sets]), Fraction(1, 4))
+    for k, (a, b) in enumerate(pairs):
+        rows, place = both.at(int(min(both.size[2 * k], both.size[2 * k + 1])))
+        apart = np.bitwise_count(rows[place[2 * k]] ^ rows[place[2 * k + 1]]).sum()
+        assert 0 < apart <= len(np.setxor1d(a, b))
+
+
+def test_close_sets_are_never_left_out():
+    rng = np.random.default_rng(5)
+    for t in (Fraction(4, 5), Fraction(9, 10), Fraction(3, 10)):
+        sets, similar = [], []
+        for _ in range(300):
+            n = int(rng.integers(1, 900))
+            base = mix(rng.integers(1, 1 << 62, n).astype(np.uint64))
+            kept = base[rng.random(n) < rng.choice([0.2, 0.5, 0.8, 0.9, 0.97])]
+            a, b = np.unique(base), np.unique(np.concatenate((kept, mix(rng.integers(1, 1 << 62, int(rng.integers(0, 5))).astype(np.uint64)))))
+            if len(b):
+                sets += [a, b]
+                common = len(np.intersect1d(a, b))
+                similar.append(common * t.denominator >= t.numerator * (len(a) + len(b) - common))
+        left = np.arange(0, len(sets), 2)
+        for small in (True, False):
+            close = Sketches([sketch(x, small) for x in sets], np.array([len(x) for x in sets]), t).close(left, left + 1)
+            assert all(close[similar]) and not all(close)
+
+
+@pytest.mark.parametrize("t", [Fraction(4, 5), Fraction(9, 10)])
+def test_large_sets_at_the_threshold_share_a_key(t):
+    rng = np.random.default_rng(8)
+    for n in (600, 1500, 3000, 9000):
+        for _ in range(12):
+            union = np.unique(mix(rng.integers(1, 1 << 62, n).astype(np.uint64)))
+            gone = int(len(union) * (1 - t))
+            left = int(rng.integers(0, gone + 1))
+            union = rng.permutation(union)
+            a, b = np.sort(union[left:]), np.sort(union[: len(union) - (gone - left)])
+            assert len(np.intersect1d(a, b)) >= t * len(union)
+            shared = len(np.intersect1d(part_keys(a, t), part_keys(b, t)))
+            assert shared >= 10 and len(part_keys(a, t)) <= 1200
+    a, b = (np.unique(mix(rng.integers(1, 1 << 62, 5000).astype(np.uint64))) for _ in range(2))
+    assert not len(np.intersect1d(part_keys(a, t), part_keys(b, t)))
