@@ -35,12 +35,12 @@ from shelfmark.llm.keys import shared_keys
 from shelfmark.llm.shingles import shingle_sets
 
 #: Sketches that travel to the parts have a bit for each shingle, as a power of two within these bounds.
-SMALL_BITS = (64, 1024)
+SMALL_BITS = (512, 1024)
 #: Width of a size band, largest size against smallest; 1 / t where that is more, so that partners are a band apart at most.
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 #: Sets of a part that are compared at once.
 BLOCK = 512
 #: Parts of up to so many sets are compared many at a time, larger ones in blocks.
