@@ -74,7 +74,8 @@ def mix_sources(
 
     A null text has size 0 and takes nothing; a null source is a source of its own; a
     repeated row is drawn each for itself, with an equal key; a null id hashes as an
-    empty one; keys are those of `draw_col` where that is not the id; an empty table gives an empty one. Other columns are dropped first.
+    empty one; equal keys are in the order of a hash of their texts, so rows draw alike in any arrangement; a row without
+    words gets no more than `most` copies; keys are those of `draw_col` where that is not the id; an empty table gives an empty one. Other columns are dropped first.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(
@@ -82,6 +83,7 @@ def mix_sources(
         docs[source_col].alias("_source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         sampling_key(docs[draw_col or id_col], word_quality(text) if quality is None else quality, seed).alias("_key"),
+        F.xxhash64(text).alias("_tie"),
     ).withColumn("_range", F.least(F.floor((1 - F.exp(-F.col("_key"))) * RANGES), F.lit(RANGES - 1)))
     rows = stored(rows)
     ranges = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
@@ -96,13 +98,16 @@ def mix_sources(
         .select(F.col("source"), F.col("_range").alias("_r"), "source_size", "target", "_epochs", "_rest", "_below")
     )
     joined = rows.join(plan, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_range") == F.col("_r")))
-    running = Window.partitionBy("source", "_range").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("source", "_range").orderBy("_key", "_tie", "size", "_id").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("_below") + F.sum("size").over(running)
     drawn = upto.alias("_upto")
     chosen = joined.select("*", drawn).withColumn(
         "_more",
-        (F.col("_upto") <= F.col("_rest"))
-        | ((F.col("_upto") - F.col("size") < F.col("_rest")) & (F.col("_upto") - F.col("_rest") < F.col("_rest") - (F.col("_upto") - F.col("size")))),
+        (F.col("_rest") > 0)
+        & (
+            (F.col("_upto") <= F.col("_rest"))
+            | ((F.col("_upto") - F.col("size") < F.col("_rest")) & (F.col("_upto") - F.col("_rest") < F.col("_rest") - (F.col("_upto") - F.col("size"))))
+        ),
     )
     copies = (F.col("_epochs") + F.col("_more").cast("int")).cast("int")
     return chosen.select(

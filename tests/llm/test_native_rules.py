@@ -86,3 +86,22 @@ def test_quality_weights_draw_more(spark):
     docs = spark.createDataFrame([*rows, (-1, "w " * 4000, "t")], "doc_id long, text string, source string")
     own = [r for r in mix_sources(docs, share=0.5).collect() if r["source"] == "s" and r["taken"]]
     assert sum(r["doc_id"] % 2 for r in own) > 0.8 * len(own) > 500
+
+
+def test_mix_of_equal_keys_in_any_arrangement(spark):
+    rows = [(None, "w " * (1 + i * 7 % 300) + f"x{i}", "a") for i in range(200)] + [(5, f"y{i} " * (1 + i % 9), "b") for i in range(100)]
+    rows += [(7, "the same text", "b")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = lambda df: sorted((str(r["doc_id"]), r["size"], r["taken"], r["copies"]) for r in mix_sources(df).collect())
+    first = taken(docs)
+    for turned in (docs.repartition(5), docs.orderBy("text"), docs.orderBy(F.desc("text")).coalesce(1)):
+        assert taken(turned) == first
+    assert len({t for _, _, t, _ in first}) > 2
+
+
+def test_rows_without_words_are_not_repeated_more_than_others(spark):
+    rows = [(i, "w " * 10, "a") for i in range(10)] + [(i, "", "a") for i in range(10, 20)] + [(i, "w " * 50, "b") for i in range(20, 60)] + [(99, None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mix_sources(docs, share=3.0).collect()
+    assert max(r["copies"] for r in out) == 2
+    assert all(r["taken"] == 2 * r["size"] for r in out)
