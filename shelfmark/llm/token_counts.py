@@ -17,7 +17,10 @@ constant from its first reset on (white space after something else leads every s
 to the same one), so it is kept as: bytes before the reset, end state, count. Each
 chunk's entry state is its predecessor's end state, and only the bytes before its reset
 are run from there. A chunk without a reset has no map: it is walked once its
-predecessor's end is known, so a text without any is counted one chunk after the other.
+predecessor's end is known. A stretch of more than STRETCH bytes without a reset (Chinese, one unbroken run) would so
+be walked one chunk after the other, and random characters compile a state for nearly every byte. Both go
+to the tokenizer library instead: such a stretch stands alone between two resets, and a part of a
+batch that asks for more than BUDGET new states is counted by the library as a whole.
 """
 
 from __future__ import annotations
@@ -39,6 +42,14 @@ CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 BEGUN = tuple(sorted({c[:k] for c in CONTRACTIONS for k in range(1, len(c))}))
 LETTER, NUMBER = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
 CHUNK = 512
+#: Bytes without a reset that are still walked: eight turns at most.
+STRETCH = 8 * CHUNK
+#: New states that one part of a batch may compile. Prose asks for some 16,000 in two megabytes, and less later on.
+BUDGET = 40_000
+
+
+class TooManyStates(Exception):
+    """A part of a batch asks for more new states than are worth compiling."""
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,6 +74,8 @@ class Transducer:
         self.stems = {t[:k] for t in self.parts for k in range(1, len(t))}
         self.longest = max(map(len, self.parts))
         self.limit = limit
+        self.path, self._library = path, None
+        self.left = BUDGET
         self._edges: tuple[dict, dict] = ({}, {})
         self._restart()
 
@@ -225,7 +238,11 @@ class Transducer:
         keys = state.astype(np.int64) * 256 + byte
         at = self._find(keys)
         if (at < 0).any():
-            for key in np.unique(keys[at < 0]).tolist():
+            missing = np.unique(keys[at < 0]).tolist()
+            self.left -= len(missing)
+            if self.left < 0:
+                raise TooManyStates
+            for key in missing:
                 self.compile(key)
             at = self._find(keys)
         return self.next[at], self.delta[at]
@@ -247,20 +264,53 @@ class Transducer:
         back[order] = count
         return back
 
+    def library(self, raw: bytes) -> int:
+        """Tokens of a text as the tokenizer library counts them."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+        return len(self._library.encode(raw.decode(), add_special_tokens=False).ids)
+
+    @staticmethod
+    def resets(data: np.ndarray) -> np.ndarray:
+        """Whether each byte is white space after a visible ASCII character: what is before it counts by itself."""
+        space = (data == 32) | ((data >= 9) & (data <= 13))
+        reset = np.zeros(len(data), bool)
+        reset[1:] = space[1:] & ~space[:-1] & (data[:-1] > 32) & (data[:-1] < 127)
+        return reset
+
     def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Tokens of each text data[offsets[i]:offsets[i + 1]]."""
+        """Tokens of each text data[offsets[i]:offsets[i + 1]]: stretches without a reset by the library, the rest by the machine."""
         if len(self.states) > self.limit:
             self._restart()
+        edges = np.unique(np.concatenate((offsets, np.flatnonzero(self.resets(data)))))
+        long = np.flatnonzero(np.diff(edges) > STRETCH)
+        apart = np.zeros(len(offsets) - 1, np.int64)
+        if len(long):
+            keep = np.ones(len(data), bool)
+            for lo, hi in zip(edges[long].tolist(), edges[long + 1].tolist()):
+                apart[np.searchsorted(offsets, lo, side="right") - 1] += self.library(data[lo:hi].tobytes())
+                keep[lo:hi] = False
+            offsets = np.concatenate(([0], np.cumsum(keep)))[offsets]
+            data = data[keep]
+        self.left = BUDGET
+        try:
+            return apart + self.machine_count(data, offsets)
+        except TooManyStates:
+            raw = data.tobytes()
+            return apart + np.array([self.library(raw[lo:hi]) for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.int64)
+
+    def machine_count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Tokens of each text, by the machine alone."""
         lengths = np.diff(offsets)
         per_text = np.maximum(1, -(-lengths // CHUNK))
         owner = np.repeat(np.arange(len(lengths)), per_text)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         begin = offsets[:-1][owner] + nth * CHUNK
         end = np.minimum(begin + CHUNK, offsets[1:][owner])
-        # The first reset of each chunk: white space after a visible ASCII character.
-        space = (data == 32) | ((data >= 9) & (data <= 13))
-        reset = np.zeros(len(data), bool)
-        reset[1:] = space[1:] & ~space[:-1] & (data[:-1] > 32) & (data[:-1] < 127)
+        # The first reset of each chunk.
+        reset = self.resets(data)
         places = np.append(np.flatnonzero(reset), len(data) + 1)
         first = places[np.searchsorted(places, np.where(nth > 0, begin, end))]
         closed = (first < end) | (nth == 0)

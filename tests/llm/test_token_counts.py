@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -46,3 +47,31 @@ def test_rows(spark):
     got = sorted(map(tuple, token_counts(docs, PATH).collect()), key=repr)
     assert got == [(1, 7, 2, False), (1, 7, 2, False), (2, 5125, 1026, True), (None, 0, 0, False)]
     assert token_counts(docs.limit(0), PATH).collect() == []
+
+
+def test_all_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    want = dict(zip([r["doc_id"] for r in rows], library([r["text"] for r in rows])))
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts(docs, PATH).collect()} == want
+
+
+KINDS = {
+    "letters": lambda r: "".join(r.choices("abcdefghijklmnopqrstuvwxyzABC", k=1_000_000)),
+    "one letter": lambda r: "a" * 1_000_000,
+    "symbols": lambda r: "".join(r.choices("!#$%&()*+,-./:;<=>?@[]^_{|}~", k=1_000_000)),
+    "CJK": lambda r: "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(333_000)),
+    "base64": lambda r: "\n".join("".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=76)) for _ in range(13_000)),
+    "blanks": lambda r: " " * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_a_megabyte_of_unbroken_text(kind):
+    rng = random.Random(3)
+    text = KINDS[kind](rng)
+    texts = ["before it", "some words " + text + " and after. ", text[:5000] + " x " + text[:300], "ab cd"]
+    begin = time.monotonic()
+    _, n_tokens = Transducer(PATH).count_texts(pa.array(texts, pa.string()))
+    assert time.monotonic() - begin < 60
+    assert n_tokens.tolist() == library(texts)
