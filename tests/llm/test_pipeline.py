@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark.llm.common import stored
@@ -103,13 +104,55 @@ def test_repeated_passages_with_null_and_repeated_ids(spark):
     assert [r["doc_id"] for r in got if q in r["text"]] == [None]
 
 
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_on_an_empty_table(spark, stage):
+    empty = documents(spark, [(1, "a")]).limit(0)
+    out = corpus_pipeline.STAGES[stage][1](spark, empty, SF)
+    assert out.collect() == []
+    if stage < 4:
+        assert out.dtypes == empty.dtypes
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_leave_other_columns_alone(spark, stage):
+    texts = [" ".join(f"{w}{i}" for i in range(80)) for w in "abcdef"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0] + " and more"), (3, "")]
+    names = ["_row", "copies", "_copies", "_taken", "n_bytes", "kept_text", "predicted", "component_id", "_Bad", "_key", "size"]
+    docs = documents(spark, rows).select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, SF)
+    assert out.dtypes == docs.dtypes
+    got = out.collect()
+    assert got and all(r[n] == f"own {n}" for r in got for n in names)
+    assert {r["text"] for r in got} <= set(texts) | {"", texts[0] + " and more", " and more"}
+
+
+def test_mixing_and_packing_with_null_and_repeated_ids(spark):
+    rows = [(None, f"text {i} " * 20) for i in range(30)] + [(4, "one two three " * 30)] * 3 + [(5, None), (None, None), (6, "")]
+    docs = documents(spark, [(i, t or "") for i, t in rows]).withColumn("text", F.when(F.col("text") != "", F.col("text")))
+    mixed = corpus_pipeline.source_weights(spark, docs, SF)
+    words = lambda df: sum(len((r["text"] or "").split()) for r in df.collect())
+    assert words(mixed) == pytest.approx(1.5 * words(docs), rel=0.1)
+    again = corpus_pipeline.source_weights(spark, docs.repartition(2), SF)
+    assert Counter(map(tuple, mixed.collect())) == Counter(map(tuple, again.collect()))
+    assert max(Counter(map(tuple, mixed.where("text IS NULL AND doc_id IS NOT NULL").collect())).values(), default=0) <= 2
+    pieces = corpus_pipeline.packing(spark, mixed, SF).collect()
+    assert sum(r["piece"] == 0 for r in pieces) == mixed.count()
+
+
+def test_run_is_its_stages(spark, kept):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == kept[5].columns
+    key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
+    assert Counter(map(key, got.collect())) == Counter(map(key, kept[5].collect()))
+
+
 def test_entry_stands_alone(tmp_path):
-    """The entry imports without this package, and does not hide other missing modules."""
+    """The entry imports without this package, or without a library that only this package needs."""
     import subprocess
     import sys
 
     root = Path(corpus_pipeline.__file__).parent
-    for name in ("__spark_entry__.py", "shelfmark"):
+    for name in ("__spark_entry__.py", "shelfmark", "corpus_pipeline.py"):
         (tmp_path / name).symlink_to(root / name)
     code = (
         "import sys\n"
@@ -120,5 +163,6 @@ def test_entry_stands_alone(tmp_path):
         "import __spark_entry__ as e\n"
         "print(len(e.queries()), 'pipeline' in e.queries())\n"
     )
-    without = subprocess.run([sys.executable, "-c", f"WHAT = 'shelfmark.llm'\n{code}"], cwd=tmp_path, capture_output=True, text=True)
-    assert without.returncode == 0 and "False" in without.stdout
+    for gone in ("shelfmark.llm", "corpus_pipeline", "tokenizers", "ahocorasick"):
+        without = subprocess.run([sys.executable, "-c", f"WHAT = {gone!r}\n{code}"], cwd=tmp_path, capture_output=True, text=True)
+        assert without.returncode == 0 and "False" in without.stdout and "without the training-data" in without.stderr, gone
