@@ -17,7 +17,7 @@ from shelfmark.operators.keywords import classify_by_keyword
 from shelfmark.operators.pages import page_links, scraped, series_states
 from shelfmark.operators.repos import readme_of
 from shelfmark.operators.urls import locate_readmes, readme_candidates
-from shelfmark.plans.enrichment import Answers, DirectAnswers, run
+from shelfmark.plans.enrichment import Answers, run
 from shelfmark.sources import manifest
 from shelfmark.streaming.incremental import worklist
 
@@ -49,7 +49,7 @@ def update_catalogue(
     trees: DataFrame,
     contents: DataFrame,
     status: DataFrame,
-    answers: Answers | DirectAnswers,
+    answers: Answers,
     base: str,
     mode: str = "missing",
     types: Mapping[str, Sequence[str]] | None = None,

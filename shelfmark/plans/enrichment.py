@@ -81,7 +81,11 @@ class Answers:
 
 
 class DirectAnswers:
-    """Answers of a cheap, deterministic model: asked where they are needed and kept nowhere, so nothing is written."""
+    """Answers of a cheap, deterministic model: asked where they are needed and kept nowhere, so nothing is written.
+
+    For `enrich_from_readme`. `enrich` reads each of its steps several times, which without a cut in
+    lineage grows into a plan too large to run: it needs `Answers`.
+    """
 
     def __init__(self, model: ans.Model):
         self.model = model

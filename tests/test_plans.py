@@ -216,17 +216,3 @@ def test_a_url_in_two_years_is_two_rows(spark, answers):
     titles = {(r["course"], r["year"], r["project_url"]): r["project_title"] for r in run.collect()}
     assert len(titles) == 4 and titles["x", "2023", u + "good"] == "Old" and titles["x", "2024", u + "poor"] != "No"
     assert enrichment.run(listed, old, *landed(spark), answers, limit=1).count() == 1
-
-
-def test_a_whole_run_that_keeps_nothing(spark):
-    """Answers asked within the plan: the same rows as with stored ones, and no folder."""
-    u = "https://github.com/o/"
-    catalogue = cl.with_result_columns(spark.createDataFrame([(u + r,) for r in ["good", "poor", "bare"]], "project_url string"))
-
-    def model(prompts):
-        return ["DEPLOYMENT: Batch" if p.startswith("Classify") else "a summary" if p.startswith("Describe") else "1. Good summary view" for p in prompts]
-
-    done = enrichment.enrich(catalogue, *landed(spark), enrichment.DirectAnswers(model))
-    assert rows(done, "project_url", "project_title", "deployment_type") == sorted([
-        (u + "good", "Good summary view", "Batch"), (u + "poor", "Good summary view", "Batch"), (u + "bare", "Unknown", "Unknown"),
-    ], key=repr)
