@@ -40,7 +40,7 @@ SMALL_BITS = (512, 1024)
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
 #: Sets of a part that are compared at once.
 BLOCK = 512
 #: Parts of up to so many sets are compared many at a time, larger ones in blocks.
@@ -393,8 +393,9 @@ def _similar_sets(docs: DataFrame, size: int, t: Fraction, id_col: str, text_col
                 votes = pairs.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
                 best = F.max_by("hub", F.struct("n", F.xxhash64("hub")))
                 pairs = votes.groupBy(F.col("node").alias("y")).agg(best.alias("x")).select("x", "y")
-            else:  # in large parts, which blocks of pairs would cost most; small ones compare all pairs below
-                pairs = pairs.where((F.col("k") > FEW) & (F.col("component") != F.col("hub.component")))
+            else:  # then in large parts alone, which blocks of pairs would cost most
+                large = F.lit(True) if turn == 1 else F.col("k") > FEW
+                pairs = pairs.where(large & (F.col("component") != F.col("hub.component")))
                 pairs = pairs.select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
         else:  # each with each, but not within a component
             pairs = crossing(members, sets, t)
