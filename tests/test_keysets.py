@@ -42,3 +42,32 @@ def test_texts_are_left_out_before_they_move(spark):
     window = max(i for i, line in enumerate(above) if "Window" in line and "row_number" in line and "landed_at" in line)
     assert bitmap > window, "the bitmap lies below the step that sorts texts"
     assert rows(files, "repo", "path", "content") == [("r", "Makefile", "new text"), ("r", "README.md", "plain")]
+
+
+def test_texts_of_other_branches_are_left_out_before_they_move(spark, monkeypatch):
+    trees, contents = landed(spark)
+    more = contents.where("ref = 'main'").withColumn("ref", F.explode(F.array(F.lit("old"), F.lit("older"))))
+    projects = spark.createDataFrame(
+        [("o", "r", "main", None), ("o", "x", None, None)], "owner string, repo string, branch string, subpath string"
+    )
+    seen = []
+    monkeypatch.setattr(rp, "one_per_key", lambda df, keys: seen.append(df) or df.dropDuplicates(keys))
+    rp.key_files(rp.choose_tree(projects, trees), trees, contents.unionByName(more))
+    assert rows(seen[-1].select("repo", "_ref").distinct()) == [("r", "main")]
+
+
+def test_a_digest_moves_in_place_of_a_text(spark):
+    trees, contents = landed(spark)
+    projects = spark.createDataFrame([("o", "r", None, None)], "owner string, repo string, branch string, subpath string")
+    files = rp.key_files(rp.choose_tree(projects, trees), trees, contents, text=F.md5("content"))
+    whole = rp.key_files(rp.choose_tree(projects, trees), trees, contents)
+    assert rows(files, "path", "content") == rows(whole.select("path", F.md5("content").alias("content")))
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("WindowGroupLimit [owner") < plan.index("md5(")
+
+
+def test_no_row_is_asked_whether_its_hash_is_null(spark):
+    keys = spark.range(3).select(F.col("id").alias("a"), F.concat(F.lit("k"), "id").alias("b"))
+    left = maybe_among(keys, key_bitmap(keys, ["a", "b"]), ["a", "b"])
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(" not in plan.lower() and left.count() == 3
