@@ -34,6 +34,8 @@ LINKS_TYPE = "array<struct<project_url:string,score:string>>"
 # The named entities that occur in links and scores.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "nbsp": "\xa0"}
 LAST_CODE_POINT = 0x10FFFF
+#: A character that texts do not have, in place of a tag; a page that has it is split by the pattern itself.
+MARK = "\uffff"
 
 
 def bound(value: Column, use) -> Column:
@@ -65,18 +67,24 @@ def unescaped(c: Column) -> Column:
 
 def page_tags(html: Column) -> Column:
     """The tags that matter, in order, as structs: name, whether it ends or stands alone, its address if it links, the text behind it."""
+    # Spark compiles the pattern of a split for every row, that of a replacement once for all.
+    between = lambda clean: F.when(clean.contains(MARK), F.split(clean, TAG)).otherwise(F.split(F.regexp_replace(clean, TAG, MARK), MARK))
     parts = lambda clean: F.arrays_zip(
-        F.regexp_extract_all(clean, F.lit(TAG), F.lit(0)).alias("tag"), F.slice(F.split(clean, TAG), 2, 1 << 30).alias("text")
+        F.regexp_extract_all(clean, F.lit(TAG), F.lit(0)).alias("tag"), F.slice(between(clean), 2, 1 << 30).alias("text")
     )
 
+    def address(t: Column, first: Column) -> Column:
+        others = F.concat(*[F.regexp_extract(t, HREF, k) for k in (2, 3)])
+        return F.when(first != "", unescaped(first)).otherwise(bound(others, unescaped))
+
     def read(part: Column) -> Column:
         t = part["tag"]
         link = t.startswith("<a") | t.startswith("<A")
         return F.struct(
             F.lower(F.regexp_extract(t, r"^</?([A-Za-z]+)", 1)).alias("name"),
             t.startswith("</").alias("ends"),
-            t.rlike(ALONE).alias("alone"),
-            F.when(link & t.rlike(HAS_HREF), unescaped(F.concat(*[F.regexp_extract(t, HREF, k) for k in (1, 2, 3)]))).alias("href"),
+            (t.endswith("/>") & t.rlike(ALONE)).alias("alone"),
+            F.when(link & t.rlike(HAS_HREF), bound(F.regexp_extract(t, HREF, 1), lambda first: address(t, first))).alias("href"),
             F.coalesce(link & t.rlike(NEXT_PAGE), F.lit(False)).alias("next"),
             part["text"].alias("text"),
         )
@@ -117,23 +125,21 @@ def _step(state: Column, tag: Column) -> Column:
     started = F.when(tag["name"] == "a", F.when(tag["href"].isNotNull(), linked).otherwise(opened)).when(tag["name"] == "span", in_span).when(tag["alone"], opened).otherwise(with_item)
     stack_more = F.when(tag["alone"], stack).otherwise(F.array_append(stack, tag["name"]))
 
-    # An end tag: everything from its element on is closed.
-    at = last(tag["name"])
-    closes = F.array_contains(stack, tag["name"])
-    left = F.transform(F.filter(opened, lambda o: o["at"] < at), lambda o: item(o, span=F.when(o["span"] >= at, -1).otherwise(o["span"])))
-    finished = F.concat(done, _finished(F.filter(opened, lambda o: o["at"] >= at)))
-
     def shown(items: Column) -> Column:
         add = lambda o: item(o, score=F.when(o["span"] > 0, F.concat(o["score"], _stripped_pieces(tag["text"]))).otherwise(o["score"]))
         return F.when(F.exists(items, lambda o: o["span"] > 0), F.transform(items, add)).otherwise(items)
 
-    ends = tag["ends"] & closes
-    now = F.when(ends, left).when(tag["ends"], opened).otherwise(started)
-    return F.struct(
-        F.when(ends, F.slice(stack, F.lit(1), at - 1)).when(tag["ends"], stack).otherwise(stack_more).alias("stack"),
-        bound(now, shown).alias("open"),
-        F.when(ends, finished).otherwise(done).alias("done"),
-    )
+    def after(stack: Column, items: Column, done: Column) -> Column:
+        return F.struct(stack.alias("stack"), bound(items, shown).alias("open"), done.alias("done"))
+
+    def ended(at: Column) -> Column:
+        """An end tag: everything from its element on, which is the last of its name, is closed."""
+        left = F.transform(F.filter(opened, lambda o: o["at"] < at), lambda o: item(o, span=F.when(o["span"] >= at, -1).otherwise(o["span"])))
+        finished = F.concat(done, _finished(F.filter(opened, lambda o: o["at"] >= at)))
+        closed = after(F.slice(stack, F.lit(1), at - 1), left, finished)
+        return F.when(at <= depth, closed).otherwise(after(stack, opened, done))
+
+    return F.when(tag["ends"], bound(last(tag["name"]), ended)).otherwise(after(stack_more, started, done))
 
 
 def _finished(items: Column) -> Column:

@@ -7,6 +7,7 @@ from html import unescape
 from html.parser import HTMLParser
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.functions import html as fh
 from tests.test_functions import apply
@@ -130,3 +131,14 @@ def test_a_long_page(spark):
     page = "".join(f'<article><a href="{U}{i}">x</a><span>{i}</span></article>' for i in range(600)) + "<p>" + "x" * 300_000
     (got,) = apply(spark, [page], fh.page_projects)
     assert [tuple(p) for p in got] == [(f"{U}{i}", str(i)) for i in range(600)]
+
+
+def test_an_address_is_looked_for_once_and_marked_pages_are_split_alike(spark):
+    page = '<article><a href="https://github.com/a/b">p</a><span> 1{0}2 </span></article><a aria-label="Next page">n</a>'
+    df = spark.createDataFrame([(page.format(""),), (page.format(fh.MARK),)], "html string")
+    read = df.select(fh.page_projects(F.col("html")).alias("p"), fh.has_next_page(F.col("html")).alias("n"))
+    assert [([tuple(x) for x in r["p"]], r["n"]) for r in read.collect()] == [
+        ([("https://github.com/a/b", "12")], True), ([("https://github.com/a/b", f"1{fh.MARK}2")], True),
+    ]
+    plan = df.select(fh.page_tags(F.col("html")).alias("tags"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(fh.HREF) == 3
