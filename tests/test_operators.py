@@ -595,3 +595,16 @@ def test_tracked_prefixes_as_a_table(spark):
     turned = table.withColumn("position", -F.col("position"))
     assert {r.slug: r.name for r in co.discover(links, turned, "https://c").collect()}["ab-x-2024"] == "two"
     assert co.discover(links, table.limit(0), "https://c").collect() == []
+
+
+def test_a_path_is_looked_at_once(spark):
+    paths = ["README.md", "a/readme", "dags/x.py", "dags/x.png", "x/node_modules/Dockerfile", "node_modules/Dockerfile", "a\n.tf", "b.csv\nkafka", "util.py", "setup.py/x", "kafka.lock", ""]
+    df = spark.createDataFrame([(p,) for p in paths], "path string").where(rp.is_key_file(F.col("path")))
+    assert sorted(r["path"] for r in df.collect()) == sorted(["README.md", "a/readme", "dags/x.py", "node_modules/Dockerfile", "a\n.tf", "b.csv\nkafka"])
+    low, copied, binary = F.lower("path"), rp.COPIED, rp.BINARY
+    three = low.rlike(rp.TELLING) & ~low.rlike(binary) & ~low.rlike(copied)
+    some = spark.range(20_000).select(F.substring(F.translate(F.base64(F.sha2(F.col("id").cast("string"), 512).cast("binary")), "QXYZ", "/./t"), 1, 9).alias("path"))
+    parts = F.array(*[F.lit(p) for p in (".tf", "dags/", "/venv/", "/.git/", ".png", ".log", "readme", "mage", "/", "x")])
+    mixed = some.withColumn("path", F.concat(*[F.get(parts, F.pmod(F.xxhash64("path", F.lit(i)), F.lit(10)).cast("int")) for i in range(3)]))
+    assert mixed.where(rp.is_key_file(F.col("path")) != three).count() == 0 and mixed.where(three).count() > 1000
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
