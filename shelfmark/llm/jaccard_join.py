@@ -7,6 +7,8 @@ whole parts. Parts are therefore join keys: no similar pair is lost. Parts witho
 set bit would be shared by many; a sketch with at most `spare` of them need not use them.
 A large set has many parts, and similar ones agree in a good share of them; some hundred groups of parts are keys
 then, so many that a similar pair agrees in none with a probability below exp(-48).
+The parts of this sketch have a bit for each hash, hardly any of them set, and are named by the exclusive or
+of the hashes whose bits are set: what agrees are shingles, not a few bits by chance, however many sets there are.
 
 Sets that agree in a part are not paired with each other one by one. Each is compared
 with one hub of the part; after links have joined them into components, only sets of
@@ -20,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
-from math import ceil, exp
+from math import ceil, exp, sqrt
 from typing import NamedTuple
 
 import numpy as np
@@ -63,7 +65,7 @@ def grouped(parts: int, low: int, d: int) -> tuple[int, int]:
     hashes, so a group of parts is spared with probability (1 - size / parts) ** d at least, and all
     `count` groups are hit with a probability below exp(-48), less than that of two shingles having one hash.
     Groups of two parts are chosen where there are enough, since chance rarely makes two parts agree; groups of
-    fewer than `size` bits are left out, which the count allows for.
+    fewer than `size` shingles are left out, which the count allows for.
     """
     for size in (2, 1):
         mean = size * low / parts
@@ -74,6 +76,22 @@ def grouped(parts: int, low: int, d: int) -> tuple[int, int]:
     return 1, 0
 
 
+def spares(low: int, d: int) -> int:
+    """How many parts to spare, so that sets of `low` shingles hardly ever have more parts without a shingle.
+
+    A set that has more must use them, and they are like those of any other such set. The number of empty parts
+    is kept five deviations away; where d leaves no room for that, twice its mean has to do.
+    """
+    least = spare = ceil(1 + 2.2 * d * exp(-low / d))
+    while spare <= least + low:
+        parts = d + 1 + spare
+        empty = exp(-low / parts)
+        if spare >= parts * empty + 5 * sqrt(parts * empty * max(0, 1 - (1 + low / parts) * empty)):
+            return spare
+        spare += max(1, spare // 16)
+    return least
+
+
 @lru_cache(maxsize=8)
 def bands(t: Fraction, largest: int = 1 << 40) -> tuple[np.ndarray, list[Band]]:
     """Upper sizes of the bands, and how sets of each are cut.
@@ -86,7 +104,7 @@ def bands(t: Fraction, largest: int = 1 << 40) -> tuple[np.ndarray, list[Band]]:
     while top < largest:
         d = int((top + int(top / t)) * (1 - t) / (1 + t))
         low = tops[-1] + 1 if tops else 1
-        spare = ceil(1 + 2.2 * d * exp(-low / d)) if d else 0
+        spare = spares(low, d) if d else 0
         parts = d + 1 + spare if d else 0
         tops.append(top)
         cuts.append(Band(parts, spare, *grouped(parts, low, d)) if d else Band(0, 0, 1, 0))
@@ -95,7 +113,10 @@ def bands(t: Fraction, largest: int = 1 << 40) -> tuple[np.ndarray, list[Band]]:
 
 
 def part_keys(shingles: np.ndarray, t: Fraction) -> np.ndarray:
-    """The join keys of a set: its parts in the band of its size and, as a larger partner, in the band below."""
+    """The join keys of a set: its parts in the band of its size and, as a larger partner, in the band below.
+
+    A part that holds other shingles in another set has another key there, but for equal hashes of 64 bits.
+    """
     tops, cuts = bands(t)
     band = int(np.searchsorted(tops, len(shingles)))
     out = []
@@ -103,17 +124,17 @@ def part_keys(shingles: np.ndarray, t: Fraction) -> np.ndarray:
         if i < 0 or (i < band and len(shingles) > int(int(tops[i]) / t)) or not cuts[i].parts:
             continue
         n, spare, size, count = cuts[i]
-        place = ((shingles & U64(0xFFFFFFFF)) * U64(n)) >> U64(32)
-        words = np.zeros(n, np.uint64)
-        np.bitwise_xor.at(words, place.astype(np.int64), U64(1) << ((shingles >> U64(32)) & U64(63)))
+        place = (((shingles & U64(0xFFFFFFFF)) * U64(n)) >> U64(32)).astype(np.int64)
+        words, held = np.zeros(n, np.uint64), np.bincount(place, minlength=n)
+        np.bitwise_xor.at(words, place, shingles)
         if count:
             groups = words[: size * count].reshape(count, size)
-            used = np.flatnonzero(np.bitwise_count(groups).sum(axis=1) >= size)
+            used = np.flatnonzero(held[: size * count].reshape(count, size).sum(axis=1) >= size)
             words = groups[:, 0].copy()
             for k in range(1, size):
                 words = mix(words) + groups[:, k]
         else:
-            used = np.arange(n) if (words == 0).sum() > spare else np.flatnonzero(words)
+            used = np.arange(n) if (held == 0).sum() > spare else np.flatnonzero(held)
         out.append(mix(words[used] ^ mix(used.astype(np.uint64) + U64(i + 1) * U64(1 << 40))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 

@@ -146,3 +146,25 @@ def test_large_sets_at_the_threshold_share_a_key(t):
             assert shared >= 10 and len(part_keys(a, t)) <= 1200
     a, b = (np.unique(mix(rng.integers(1, 1 << 62, 5000).astype(np.uint64))) for _ in range(2))
     assert not len(np.intersect1d(part_keys(a, t), part_keys(b, t)))
+
+
+@pytest.mark.parametrize("n", [300, 1200])
+def test_sets_without_a_common_shingle_share_no_key(n):
+    rng = np.random.default_rng(9)
+    for t in (Fraction(9, 10), Fraction(4, 5)):
+        keys = [part_keys(np.unique(mix(rng.integers(1, 1 << 62, n).astype(np.uint64))), t) for _ in range(600)]
+        assert sum(map(len, keys)) > 600 * 10
+        assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
+def test_shared_parts_grow_no_faster_than_the_sets():
+    rng = np.random.default_rng(10)
+    rows = {}
+    for count in (200, 1600):
+        keys = []
+        for k in range(count):  # every twentieth with one near copy
+            base = np.unique(mix(rng.integers(1, 1 << 62, 200).astype(np.uint64)))
+            keys += [part_keys(base, Fraction(4, 5))] + [part_keys(base[3:], Fraction(4, 5))] * (k % 20 == 0)
+        _, n = np.unique(np.concatenate(keys), return_counts=True)
+        rows[count] = n[n > 1].sum()
+    assert 0 < rows[1600] <= 9 * rows[200]
