@@ -45,6 +45,8 @@ BROADCAST_ROWS = 200_000
 HUB_ROUNDS = 4
 #: Sets of a part that are compared at once.
 BLOCK = 512
+#: Parts with one lead are compared as one, if that makes at most so many times the pairs.
+MORE = 4
 #: Parts of up to so many sets are compared many at a time, larger ones in blocks.
 FEW = 12
 
@@ -231,6 +233,22 @@ class Sketches:
         return ok
 
 
+def merged(members: DataFrame) -> DataFrame:
+    """(key, node, component) of members with k, the size of their part: one key for the parts with one lead, where that pays.
+
+    A pair meets in every part that both sets have, near copies in dozens. The lead of a part is the smallest hash of its
+    nodes; parts of a class have few leads between them, and whoever shares a part shares its lead. Parts with one
+    lead stay apart where they have so little in common that their union has over MORE times as many pairs.
+    """
+    leads = members.groupBy("key").agg(F.min(F.xxhash64("node")).alias("lead"), F.first("k").alias("k"))
+    led = members.drop("k").join(leads, "key")
+    costs = leads.groupBy("lead").agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("apart"))
+    unions = led.groupBy("lead").agg(F.countDistinct("node").cast("double").alias("size"))
+    pays = costs.join(unions, "lead").where(F.col("size") * F.col("size") <= MORE * F.col("apart")).select("lead", F.lit(True).alias("pays"))
+    key = F.when(F.col("pays"), F.col("lead")).otherwise(F.col("key"))
+    return led.join(pays, "lead", "left").select(key.alias("key"), "node", "component").distinct()
+
+
 def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """(x, y): members (key, node, component, k: of the part) of one part, but of different components, that may be similar.
 
@@ -238,7 +256,7 @@ def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     many parts at a time; of a larger one blocks. Only close pairs leave.
     """
     node = members.schema["node"].dataType.simpleString()
-    rows = members.join(sets.select("node", "n", "small"), "node")
+    met = lambda rows: rows.join(sets.select("node", "n", "small"), "node")
 
     def solve(block: pa.RecordBatch) -> list[tuple]:
         left, right = sides(block)
@@ -272,8 +290,8 @@ def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
             yield pairs(rest[0])
 
     kind = {"bigint": pa.int64(), "int": pa.int32()}.get(node, pa.string())
-    small = rows.where(F.col("k") <= FEW).drop("k").repartition("key").sortWithinPartitions("key")
-    blocks = paired_blocks(rows.where(F.col("k") > FEW).drop("k"), ["key"], "node", BLOCK)
+    small = met(members.where(F.col("k") <= FEW).drop("k")).repartition("key").sortWithinPartitions("key")
+    blocks = paired_blocks(met(merged(members.where(F.col("k") > FEW))), ["key"], "node", BLOCK)
     made = over_blocks(blocks, ["key"], solve, f"x {node}, y {node}", [("x", kind), ("y", kind)])
     return small.mapInArrow(few, f"x {node}, y {node}").unionByName(made)
 

@@ -11,7 +11,7 @@ import pytest
 
 from shelfmark.llm.common import mix
 from shelfmark.llm.graph import components
-from shelfmark.llm.jaccard_join import Sketches, part_keys, similar_sets, sketch
+from shelfmark.llm.jaccard_join import Sketches, merged, part_keys, similar_sets, sketch
 
 
 def plain_components(nodes, links):
@@ -168,3 +168,22 @@ def test_shared_parts_grow_no_faster_than_the_sets():
         _, n = np.unique(np.concatenate(keys), return_counts=True)
         rows[count] = n[n > 1].sum()
     assert 0 < rows[1600] <= 9 * rows[200]
+
+
+def test_parts_of_a_class_are_compared_as_one(spark):
+    rng = random.Random(4)
+    rows = [(key, node, node, 30) for key in range(60) for node in rng.sample(range(50), 30)]  # a class of 50
+    rows += [(100 + key, node, node, 20) for key in range(40) for node in [500, *range(1000 + 19 * key, 1019 + 19 * key)]]
+    members = spark.createDataFrame(rows, "key long, node long, component long, k long")
+    got = [tuple(r) for r in merged(members).collect()]
+    groups: dict = {}
+    for key, node, component in got:
+        assert node == component
+        groups.setdefault(key, set()).add(node)
+    parts: dict = {}
+    for key, node, *_ in rows:
+        parts.setdefault(key, set()).add(node)
+    assert all(any(part <= group for group in groups.values()) for part in parts.values())
+    pairs = lambda of: sum(len(x) ** 2 for x in of)
+    assert pairs(groups.values()) <= 4 * pairs(parts.values())
+    assert len([g for g in groups.values() if min(g) < 500]) <= 20
