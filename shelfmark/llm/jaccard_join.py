@@ -10,9 +10,10 @@ then, so many that a similar pair agrees in none with a probability below exp(-4
 The parts of this sketch have a bit for each hash, hardly any of them set, and are named by the exclusive or
 of the hashes whose bits are set: what agrees are shingles, not a few bits by chance, however many sets there are.
 
-Sets that agree in a part are not paired with each other one by one. Each is compared
-with one hub of the part; after links have joined them into components, only sets of
-different components still meet, first at other hubs, then each with each. Every
+Sets that agree in a part are not paired with each other one by one. The hub of a part is the set
+that meets the most others, of a large class of near copies one of the least changed; each set is compared with one hub,
+that of the most parts. After links have joined them into components, only sets of
+different components still meet, first at another hub, then each with each. Every
 candidate passes the bound on a whole sketch, and then the exact sets decide.
 Equal sets are one node throughout.
 """
@@ -42,7 +43,7 @@ SMALL_BITS = (512, 1024)
 BAND = Fraction(13, 10)
 #: Rows of a side that may be broadcast; a larger side is shuffled instead.
 BROADCAST_ROWS = 200_000
-HUB_ROUNDS = 4
+HUB_ROUNDS = 2
 #: Sets of a part that are compared at once.
 BLOCK = 512
 #: Parts with one lead are compared as one, if that makes at most so many times the pairs.
@@ -241,12 +242,19 @@ def merged(members: DataFrame) -> DataFrame:
     lead stay apart where they have so little in common that their union has over MORE times as many pairs.
     """
     leads = members.groupBy("key").agg(F.min(F.xxhash64("node")).alias("lead"), F.first("k").alias("k"))
-    led = members.drop("k").join(leads, "key")
     costs = leads.groupBy("lead").agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("apart"))
-    unions = led.groupBy("lead").agg(F.countDistinct("node").cast("double").alias("size"))
+    unions = members.drop("k").join(leads, "key").groupBy("lead").agg(F.countDistinct("node").cast("double").alias("size"))
     pays = costs.join(unions, "lead").where(F.col("size") * F.col("size") <= MORE * F.col("apart")).select("lead", F.lit(True).alias("pays"))
-    key = F.when(F.col("pays"), F.col("lead")).otherwise(F.col("key"))
-    return led.join(pays, "lead", "left").select(key.alias("key"), "node", "component").distinct()
+    # A part, not each of its rows, looks up its lead: a class of very many sets has few leads.
+    names = leads.join(pays, "lead", "left").select("key", F.when(F.col("pays"), F.col("lead")).otherwise(F.col("key")).alias("name"))
+    return members.join(names, "key").select(F.col("name").alias("key"), "node", "component").distinct()
+
+
+def reaching(members: DataFrame) -> DataFrame:
+    """(key, node, reach) of members (key, node): how many sets a node meets in all its parts, each as often as they meet."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("k"))
+    reach = members.join(sizes, "key").groupBy("node").agg((F.sum("k") - F.count("*")).alias("reach"))
+    return members.join(reach, "node").select("key", "node", "reach")
 
 
 def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
@@ -290,7 +298,7 @@ def crossing(members: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
             yield pairs(rest[0])
 
     kind = {"bigint": pa.int64(), "int": pa.int32()}.get(node, pa.string())
-    small = met(members.where(F.col("k") <= FEW).drop("k")).repartition("key").sortWithinPartitions("key")
+    small = met(members.where(F.col("k") <= FEW).drop("k", "reach")).repartition("key").sortWithinPartitions("key")
     blocks = paired_blocks(met(merged(members.where(F.col("k") > FEW))), ["key"], "node", BLOCK)
     made = over_blocks(blocks, ["key"], solve, f"x {node}, y {node}", [("x", kind), ("y", kind)])
     return small.mapInArrow(few, f"x {node}, y {node}").unionByName(made)
@@ -420,22 +428,23 @@ def _similar_sets(docs: DataFrame, size: int, t: Fraction, id_col: str, text_col
     shared = stored(shared_parts(lean, size, t))
     members = stored(shared.distinct().join(nodes, "a").select("key", "node"))
     discard(shared)
+    bare, members = members, stored(reaching(members))
+    discard(bare)
     sets = stored(keyed_sets(lean, members, size))
     found = None
     for turn in range(HUB_ROUNDS + 1):
         if not members.head(1):
             break
-        if turn < HUB_ROUNDS:  # each with one hub of its part
-            hubs = members.groupBy("key").agg(F.min_by(F.struct(*[c for c in members.columns if c != "key"]), F.xxhash64("node", F.lit(turn))).alias("hub"))
-            pairs = members.join(hubs, "key").where("node != hub.node")
-            if turn == 0:  # only the hub it shares most parts with: the likeliest to join it
-                votes = pairs.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
-                best = F.max_by("hub", F.struct("n", F.xxhash64("hub")))
-                pairs = votes.groupBy(F.col("node").alias("y")).agg(best.alias("x")).select("x", "y")
-            else:  # then in large parts alone, which blocks of pairs would cost most
-                large = F.lit(True) if turn == 1 else F.col("k") > FEW
-                pairs = pairs.where(large & (F.col("component") != F.col("hub.component")))
-                pairs = pairs.select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
+        if turn < HUB_ROUNDS:  # each with one hub, the one it shares most parts with: the likeliest to join it
+            fields = F.struct(*[c for c in members.columns if c != "key"])
+            chance = 1 + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1000)) if turn else F.lit(1)  # later another than before
+            rank = F.struct(F.col("reach") * chance, F.xxhash64("node", F.lit(turn)))
+            pairs = members.join(members.groupBy("key").agg(F.max_by(fields, rank).alias("hub")), "key").where("node != hub.node")
+            if turn:
+                pairs = pairs.where(F.col("component") != F.col("hub.component"))
+            votes = pairs.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
+            best = F.max_by("hub", F.struct("n", F.xxhash64("hub")))
+            pairs = votes.groupBy(F.col("node").alias("y")).agg(best.alias("x")).select("x", "y")
         else:  # each with each, but not within a component
             pairs = crossing(members, sets, t)
         links = linked(pairs, lean, sets, size, t)
@@ -443,7 +452,7 @@ def _similar_sets(docs: DataFrame, size: int, t: Fraction, id_col: str, text_col
             found = joined_by(found, links)
         discard(links)
         if turn < HUB_ROUNDS:
-            marked = members.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            marked = members.select("key", "node", "reach").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             mixed = marked.groupBy("key").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi"))
             before, members = members, stored(marked.join(mixed.where("lo != hi").select("key", "k"), "key"))
             discard(before)

@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from shelfmark.llm import jaccard_join
 from shelfmark.llm.common import mix
 from shelfmark.llm.graph import components
 from shelfmark.llm.jaccard_join import Sketches, merged, part_keys, similar_sets, sketch
@@ -187,3 +188,24 @@ def test_parts_of_a_class_are_compared_as_one(spark):
     pairs = lambda of: sum(len(x) ** 2 for x in of)
     assert pairs(groups.values()) <= 4 * pairs(parts.values())
     assert len([g for g in groups.values() if min(g) < 500]) <= 20
+
+
+def test_pairs_of_a_class_grow_no_faster_than_its_sets(spark, monkeypatch):
+    compared = []
+    linked = jaccard_join.linked
+
+    def counted(pairs, *rest):
+        compared.append(pairs.distinct().count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "linked", counted)
+    rng, rows = random.Random(11), []
+    base = [f"w{k}" for k in range(150)]
+    for doc in range(1000):  # from hardly to largely edited copies, like those of a page that very many hold
+        words = list(base)
+        for k in rng.sample(range(150), rng.randrange(7)):
+            words[k] = f"x{rng.randrange(10**6)}"
+        rows.append((doc, " ".join(words)))
+    got = similar_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == 1000 and len({r["component_id"] for r in got}) < 600
+    assert sum(compared) <= 4 * 1000, compared
