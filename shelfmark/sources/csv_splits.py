@@ -189,21 +189,29 @@ def records(spark: SparkSession, paths: str | Sequence[str], glob: str | None =
     """
     rows = lines(spark, paths, glob)
     if among is not None:
-        rows = rows.join(F.broadcast(among), "file", "left_semi")
+        rows = _found(rows, among, ["file"], "left_semi")
     name = ["file", "start", "nth", "text"]
     out = _cut(rows.where("whole").withColumn("inside", F.lit(False)), False, True).select(*name)
     split = rows.where("NOT whole")
     states = first_states(split_maps(split))
     for mine in _turns(states.count()):
-        # The join alone picks the files of a turn: a filter on paths would be used on listed files,
-        # whose paths are written in another way.
         known = states.where(mine)
-        out = out.unionByName(_cut(split.join(F.broadcast(known), ["file", "start"]), False).select(*name))
-        open_ones = F.broadcast(known.where("inside OR ends_inside"))
-        out = out.unionByName(_assembled(_cut(split.join(open_ones, ["file", "start"]), True)))
+        out = out.unionByName(_cut(_found(split, known, ["file", "start"]), False).select(*name))
+        open_ones = known.where("inside OR ends_inside")
+        out = out.unionByName(_assembled(_cut(_found(split, open_ones, ["file", "start"]), True)))
     return _tidy(out)
 
 
+def _found(rows: DataFrame, known: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """`rows` joined with `known`, which is broadcast, on columns of these names.
+
+    The join alone picks the files of a turn. Were its keys plain columns, the condition on `file` would be inferred
+    for `rows` and used on listed files, whose paths are written in another way; so the keys are structs.
+    """
+    few = known.select(F.struct(*names).alias("_at"), *[c for c in known.columns if c not in names])
+    return rows.join(F.broadcast(few), F.struct(*[rows[n] for n in names]) == F.col("_at"), how).drop("_at")
+
+
 def _turns(n: int) -> list[Column]:
     """Conditions on `file` that part n rows of files into turns of about SPLITS rows."""
     turns = -(-n // SPLITS)

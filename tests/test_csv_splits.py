@@ -120,6 +120,20 @@ def test_turns_of_files(spark, tmp_path, tiny_splits, monkeypatch):
     assert sc.scan_csv(spark, str(tmp_path)).count() == 4 * 22
 
 
+def test_no_turn_loses_a_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sp, "SPLITS", 2)
+    for i in range(3):
+        text = "project_url,note\n" + "".join(f'u{i}-{k},"a\nb{k}"\n' for k in range(300))
+        (tmp_path / f"{i}.csv").write_text(text, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = sp.records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 3 * 301 and len({r["file"] for r in found}) == 3
+
+
 def test_no_task_reads_a_large_file_alone(spark, tmp_path, tiny_splits):
     draw = random.Random(6)
     (tmp_path / "a.csv").write_text(text_of(some_rows(draw, 200), "\n", draw), encoding="utf-8")
